@@ -121,11 +121,12 @@ def run_gold(
 
 
 def run_segments(lake: Lake, csv_folder: str | None = None) -> None:
-    features = segments.rfm_features(
+    totals = segments.rfm_totals(
         lake.table("gold", "fact_sales"),
         lake.table("gold", "dim_date"),
         lake.table("gold", "dim_customers"),
     )
+    features = segments.rfm_features(store(totals, "rfm_totals"))
     lake.write(segments.segment(features), "gold", schemas.SEGMENTS)
     if csv_folder is not None:
         export_csv(lake.table("gold", schemas.SEGMENTS), csv_folder)

@@ -16,15 +16,14 @@ PERSON = ["customer_unique_id", "customer_city", "customer_state"]
 FEATURES = ["Recency", "Frequency", "Monetary"]
 
 
-def rfm_features(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per person: days since the last sale, number of sold items, sum paid.
+def rfm_totals(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> DataFrame:
+    """Per person: the last day with a sale, the number of sold items and the sum paid.
 
-    Recency counts from the day after the newest sale of all. Frequency counts items,
-    and the order total stands on each item, so an order of n items adds it n times.
+    Items are counted, not orders, and the order total stands on each item, so an order
+    of n items adds it n times.
 
     Sales are reduced to one row per customer key before customers are joined: what is
     shuffled are partial sums, and a customer with very many sales is one row by then.
-    The newest day is a scalar subquery over the same reduced rows.
     """
     per_key = (
         sales.select("customer_key", "date_key", "sale_key", "payment_value")
@@ -36,7 +35,7 @@ def rfm_features(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> Da
             F.sum("payment_value").alias("paid"),
         )
     )
-    per_person = (
+    return (
         per_key.join(customers.select("customer_key", *PERSON), "customer_key")
         .groupBy(*PERSON)
         .agg(
@@ -45,13 +44,16 @@ def rfm_features(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> Da
             F.sum("paid").alias("Monetary"),
         )
     )
-    newest = per_person.agg(F.max("last_day")).scalar()
-    return per_person.select(
-        *PERSON,
-        F.datediff(F.date_add(newest, 1), "last_day").alias("Recency"),
-        "Frequency",
-        "Monetary",
-    ).fillna(0)
+
+
+def rfm_features(totals: DataFrame) -> DataFrame:
+    """Recency in days, counted from the day after the newest sale of all; null becomes 0.
+
+    The newest day is a scalar subquery, so ``totals`` is read twice: store it first.
+    """
+    newest = totals.agg(F.max("last_day")).scalar()
+    recency = F.datediff(F.date_add(newest, 1), "last_day")
+    return totals.select(*PERSON, recency.alias("Recency"), "Frequency", "Monetary").fillna(0)
 
 
 def with_vector(features: DataFrame) -> DataFrame:

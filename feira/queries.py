@@ -24,6 +24,7 @@ from feira.operators import assign_nearest, keep_first, orphans, row_audit
 from feira.plans import gold, segments, silver
 from feira.sources import calendar
 from feira.sources.market import Market
+from feira.sources.working import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,11 +88,12 @@ class _Tables:
         return gold.fact_shipping(self.lines())
 
     def rfm(self):
-        return segments.rfm_features(
+        totals = segments.rfm_totals(
             gold.fact_sales(self.lines(paid=True)),
             gold.dim_date(self.spark, FIRST_DAY, LAST_DAY),
             self.dim_customers(),
         )
+        return segments.rfm_features(store(totals, "rfm_totals"))
 
 
 def filter_chronology(t: _Tables) -> DataFrame:

@@ -82,11 +82,12 @@ class Market:
         )
 
     def order_payments(self) -> DataFrame:
-        """The discounted price. Both operands are made decimal, so the product is exact."""
+        """The discounted price. Both operands are made decimal, so the product is exact;
+        with at most 18 digits in all it is also held in a long."""
         kind = F.when(F.col("l_returnflag") == "R", "voucher").when(
             F.col("l_returnflag") == "A", "credit_card"
         )
-        price = F.col("l_extendedprice").cast("decimal(18,2)")
+        price = F.col("l_extendedprice").cast("decimal(12,2)")
         return self.read("lineitem").select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.col("l_linenumber").alias("payment_sequential"),
