@@ -96,7 +96,11 @@ def segment(
     if stored.isEmpty():
         return stored.withColumn("Cluster", F.lit(None).cast("int"))
     scaled = standardise(stored)
-    model = KMeans(k=k, seed=seed, featuresCol="vector", predictionCol="_raw_cluster").fit(scaled)
+    # the block solver fails when there are fewer different rows than clusters
+    kmeans = KMeans(
+        k=k, seed=seed, featuresCol="vector", predictionCol="_raw_cluster", solver="row"
+    )
+    model = kmeans.fit(scaled)
     centres = model.clusterCenters()
     by_value = sorted(range(len(centres)), key=lambda i: tuple(centres[i][::-1]))
     number = F.array(*[F.lit(by_value.index(i)) for i in range(len(centres))])

@@ -1,6 +1,7 @@
 """Writing Parquet folders, CSV exports and catalog tables."""
 
 from collections.abc import Mapping
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +11,25 @@ SESSION_CATALOG = "spark_catalog"
 ICEBERG_PROPERTIES = {"format-version": "2"}
 
 
+def _reads_from(df: DataFrame, path: str) -> bool:
+    """Whether a file of ``df`` lies in the folder ``path``. Lists file names, reads none.
+
+    A path without a scheme is compared without one, so it may match too much.
+    """
+    target = urlparse(path)
+    folder = f"/{target.path.strip('/')}/"
+    for name in df.inputFiles():
+        source = urlparse(name)
+        same_store = not target.scheme or (source.scheme, source.netloc) == target[:2]
+        if same_store and unquote(source.path).startswith(folder):
+            return True
+    return False
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace a folder. Spark refuses when the same folder is also being read."""
+    """Replace a folder. Overwriting deletes first, so reading the same folder is refused."""
+    if _reads_from(df, path):
+        raise ValueError(f"{path} is also being read from")
     df.write.mode("overwrite").parquet(path)
 
 

@@ -1,0 +1,207 @@
+from decimal import Decimal
+from unittest.mock import MagicMock
+
+import pytest
+from conftest import rows
+
+from feira import schemas
+from feira.sources import exports, sinks, working
+
+REVIEWS = (
+    "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+    "review_creation_date,review_answer_timestamp\n"
+    'r1,o1,5,,"first line\nsecond line",2017-01-01 00:00:00,2017-01-02 00:00:00\n'
+    'r2,o2,4,,"he said ""great""",2017-01-01 00:00:00,2017-01-02 00:00:00\n'
+)
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def put(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    path = folder / name
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+@pytest.mark.parametrize(
+    "name, entity",
+    [
+        ("shop_orders_dataset.csv", "orders"),
+        ("shop_customers_dataset.csv", "customers"),
+        ("shop_products_dataset.csv", "products"),
+        ("shop_order_items_dataset.csv", "order_items"),
+        ("shop_order_payments_dataset.csv", "order_payments"),
+        ("shop_order_reviews_dataset.csv", "order_reviews"),
+        ("shop_sellers_dataset.csv", "sellers"),
+        ("shop_geolocation_dataset.csv", "geolocation"),
+        ("product_category_name_translation.csv", "product_category_name_translation"),
+        ("customers_and_orders.csv", "orders"),
+        ("notes.csv", "misc"),
+    ],
+)
+def test_routing(name, entity):
+    assert exports.entity_of(name) == entity
+
+
+def test_free_text_over_lines_and_doubled_quotes(spark, tmp_path):
+    path = put(tmp_path / "in", "reviews.csv", REVIEWS)
+    df = exports.read_export(spark, path, "order_reviews")
+    assert df.schema == schemas.struct(schemas.BRONZE["order_reviews"])
+    comments = [row[0] for row in df.orderBy("review_id").select("review_comment_message").collect()]
+    assert comments == ["first line\nsecond line", 'he said "great"']
+
+
+def test_columns_are_found_by_name_and_bad_values_become_null(spark, tmp_path):
+    text = (
+        "seller_state,seller_id,note,seller_zip_code_prefix,seller_city\n"
+        "SP,s1,hello,01234,São Paulo\nRJ,s2,,x1,Rio\n"
+    )
+    df = exports.read_export(spark, put(tmp_path / "in", "sellers.csv", text), "sellers")
+    assert df.columns == [
+        "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state", "note",
+    ]
+    assert rows(df) == [("s1", 1234, "São Paulo", "SP", "hello"), ("s2", None, "Rio", "RJ", None)]
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    path = put(tmp_path / "in", "sellers.csv", "seller_id,seller_city\ns1,Rio\n")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix, seller_state"):
+        exports.read_export(spark, path, "sellers")
+
+
+def test_files_of_one_entity_must_share_a_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    paths = [
+        put(folder, "a_sellers.csv", SELLERS + "s1,1,Rio,RJ\n"),
+        put(
+            folder,
+            "b_sellers.csv",
+            "seller_city,seller_zip_code_prefix,seller_id,seller_state\nRio,1,s2,RJ\n",
+        ),
+    ]
+    with pytest.raises(Exception, match="(?i)header"):
+        exports.read_export(spark, paths, "sellers").collect()
+
+
+def test_money_is_decimal(spark, tmp_path):
+    text = (
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+        "o1,1,voucher,2,10.1\n"
+    )
+    df = exports.read_export(spark, put(tmp_path / "in", "payments.csv", text), "order_payments")
+    assert rows(df) == [("o1", 1, "voucher", 2, Decimal("10.10"))]
+
+
+def test_no_inference_pass(spark, tmp_path):
+    """Only the header line is read before the write."""
+    path = put(tmp_path / "in", "sellers.csv", SELLERS + "s1,1,Rio,RJ\n")
+    df = exports.read_export(spark, path, "sellers")
+    scan = df._jdf.queryExecution().analyzed().toString()
+    assert "try_cast" in scan.lower()
+
+
+def test_ingest_folder(spark, tmp_path):
+    folder, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    put(folder, "sellers_2016.csv", SELLERS + "s1,1,Rio,RJ\n")
+    put(folder, "sellers_2017.csv", SELLERS + "s2,2,Natal,RN\n")
+    put(folder, "order_reviews.csv", REVIEWS)
+    put(folder, "notes.csv", "a,b\n1,x\n")
+    put(folder, "more notes.csv", "c\n2.5\n")
+    put(folder, "sellers.txt", "not a csv")
+    written = exports.ingest_folder(spark, str(folder), bronze)
+    assert set(written) == {"sellers", "order_reviews", "notes.csv", "more notes.csv"}
+    assert rows(spark.read.parquet(f"{bronze}/sellers")) == [
+        ("s1", 1, "Rio", "RJ"),
+        ("s2", 2, "Natal", "RN"),
+    ]
+    assert spark.read.parquet(f"{bronze}/order_reviews").count() == 2
+    assert rows(spark.read.parquet(f"{bronze}/misc/notes")) == [(1, "x")]
+    assert rows(spark.read.parquet(f"{bronze}/misc/more notes")) == [(2.5,)]
+
+
+def test_ingest_export_replaces(spark, tmp_path):
+    folder, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    for city in ("Rio", "Natal"):
+        path = put(folder, "sellers.csv", SELLERS + f"s1,1,{city},RJ\n")
+        target = exports.ingest_export(spark, path, "sellers", bronze)
+    assert rows(spark.read.parquet(target)) == [("s1", 1, "Natal", "RJ")]
+
+
+def test_single_parquet_file_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_parquet(spark.range(5).coalesce(1), path)
+    [file] = spark.read.parquet(path).inputFiles()
+    assert spark.read.parquet(file).count() == 5
+
+
+def test_overwriting_what_is_read_is_refused(spark, tmp_path):
+    path = str(tmp_path / "a folder")
+    sinks.write_parquet(spark.range(3), path)
+    read_back = spark.read.parquet(path).limit(1)
+    for name in (path, path + "/", "file://" + path, "file:" + path):
+        with pytest.raises(ValueError, match="also being read"):
+            sinks.write_parquet(read_back, name)
+    assert spark.read.parquet(path).count() == 3
+    sinks.write_parquet(read_back, path + " 2")
+    assert spark.read.parquet(path + " 2").count() == 1
+
+
+def test_export_csv(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.export_csv(spark.range(10).repartition(3), path)
+    assert spark.read.csv(path, header=True).count() == 10
+    assert len(spark.read.csv(path, header=True).inputFiles()) == 3
+
+
+def test_create_tables(spark):
+    names = sinks.create_tables(spark)
+    assert len(names) == 23
+    assert len(sinks.create_tables(spark)) == 23
+    for layer, tables in schemas.LAYERS.items():
+        for table, ddl in tables.items():
+            created = spark.table(f"spark_catalog.{layer}.{table}")
+            assert created.schema == schemas.struct(ddl)
+            assert created.isEmpty()
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_write_table_replaces_rows_and_schema(spark):
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS sink_test")
+    sinks.write_table(spark.range(3), "spark_catalog.sink_test.t")
+    sinks.write_table(spark.range(2).selectExpr("'x' AS name"), "spark_catalog.sink_test.t")
+    assert rows(spark.table("sink_test.t")) == [("x",), ("x",)]
+
+
+def test_plug_in_catalogs_are_replaced_atomically(spark, conf):
+    conf(catalog__lake="some.Catalog")
+    assert sinks.can_replace(spark, "lake.gold.t")
+    assert not sinks.can_replace(spark, "spark_catalog.gold.t")
+    assert not sinks.can_replace(spark, "gold.t")
+    df = MagicMock(sparkSession=spark)
+    sinks.write_table(df, "lake.gold.t", "iceberg", sinks.ICEBERG_PROPERTIES)
+    df.writeTo.assert_called_once_with("lake.gold.t")
+    using = df.writeTo.return_value.using
+    using.assert_called_once_with("iceberg")
+    prop = using.return_value.tableProperty
+    prop.assert_called_once_with("format-version", "2")
+    prop.return_value.createOrReplace.assert_called_once_with()
+    df.write.format.assert_not_called()
+
+
+def test_store_uses_the_folder_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    stored = working.store(spark.range(5).selectExpr("id", "id % 2 AS odd"), "numbers")
+    assert all(folder in path for path in stored.inputFiles())
+    assert stored.count() == 5
+    assert "LogicalRDD" not in stored._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    session = MagicMock()
+    settings = {"spark.master": "yarn"}
+    session.conf.get.side_effect = lambda name, default=None: settings.get(name, default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        working.shared_folder(session)
+    settings["spark.checkpoint.dir"] = "hdfs://x/working/"
+    assert working.shared_folder(session) == "hdfs://x/working"
