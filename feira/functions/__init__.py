@@ -2,7 +2,7 @@
 
 from feira.functions.casts import int_or_null, timestamp_or_null
 from feira.functions.geo import haversine_km
-from feira.functions.keys import date_key, key_text, surrogate_key
+from feira.functions.keys import date_key, key_text, known_key, surrogate_key
 from feira.functions.predicates import (
     non_decreasing,
     non_negative,
@@ -17,6 +17,7 @@ __all__ = [
     "haversine_km",
     "int_or_null",
     "key_text",
+    "known_key",
     "non_decreasing",
     "non_negative",
     "non_negative_or_null",

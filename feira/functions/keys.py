@@ -15,6 +15,11 @@ def surrogate_key(*parts) -> Column:
     return F.sha2(key_text(*parts), 256)
 
 
+def known_key(natural: str) -> Column:
+    """The surrogate key of one natural key, or null where that is null."""
+    return F.when(F.col(natural).isNotNull(), surrogate_key(natural))
+
+
 def date_key(moment) -> Column:
     """Calendar day as ``yyyyMMdd`` text, the key of ``dim_date``."""
     return F.date_format(moment, "yyyyMMdd")

@@ -12,14 +12,18 @@ shuffle on something else. That is the shape in which adaptive execution can spl
 skewed partition into several tasks, whatever made it skewed: a hot key, null keys or
 many copies of one row. No dimension is broadcast by hint, since they grow with the
 data; Spark broadcasts those it measures to be small.
+
+A surrogate key is a function of the natural key alone, so a join with a dimension only
+has to tell whether the key is there. The joins carry natural keys and a flag; hashes of
+64 characters are made last, once per row of the result, and are never shuffled.
 """
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.functions import date_key, haversine_km, key_text, surrogate_key
+from feira.functions import date_key, haversine_km, key_text, known_key
 from feira.operators import distinct_rows, keep_first
 from feira.sources import calendar
 
@@ -110,13 +114,17 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
+def _known(dimension: DataFrame, natural_key: str, flag: str) -> DataFrame:
+    return dimension.select(natural_key, F.lit(True).alias(flag))
+
+
 def order_header(
     orders: DataFrame,
     customers: DataFrame,
     dim_customers: DataFrame,
     order_payments: DataFrame | None = None,
 ) -> DataFrame:
-    """Per order: its times, the key of its customer and, if given, what was paid.
+    """Per order: its times, the person who ordered and, if given, what was paid.
 
     Both hops of the customer lookup (account, then person) happen here. Payments are
     joined first and the customer last, so that the result leaves a join on customers
@@ -131,17 +139,18 @@ def order_header(
     )
     if order_payments is not None:
         header = header.join(payments_per_order(order_payments), "order_id", "left")
-    people = dim_customers.select("customer_unique_id", "customer_key")
     accounts = customers.select("customer_id", "customer_unique_id").join(
-        people, "customer_unique_id", "left"
+        _known(dim_customers, "customer_unique_id", "customer_known"), "customer_unique_id", "left"
     )
-    return header.join(accounts, "customer_id", "left").drop("customer_id", "customer_unique_id")
+    person = F.when(F.col("customer_known"), F.col("customer_unique_id")).alias("person")
+    known = accounts.select("customer_id", person)
+    return header.join(known, "customer_id", "left").drop("customer_id")
 
 
 def order_lines(
     order_items: DataFrame, header: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame
 ) -> DataFrame:
-    """Items of known orders with the header and the product and seller keys.
+    """Items of known orders with the header, and whether product and seller are known.
 
     All three facts start from this; a run that builds them all stores it once
     (``feira.plans.layers``).
@@ -149,46 +158,66 @@ def order_lines(
     return (
         order_items.drop("shipping_limit_date")
         .join(header, "order_id")
-        .join(dim_products.select("product_id", "product_key"), "product_id", "left")
-        .join(dim_sellers.select("seller_id", "seller_key"), "seller_id", "left")
+        .join(_known(dim_products, "product_id", "product_known"), "product_id", "left")
+        .join(_known(dim_sellers, "seller_id", "seller_known"), "seller_id", "left")
     )
 
 
 # --- facts ------------------------------------------------------------------------
+#
+# Each fact is made in two steps: distinct rows of natural keys, then their hashes. The
+# hash tells the same rows apart as the text it is made from.
+
+
+def _natural_keys() -> list[Column]:
+    return [
+        F.col("person"),
+        F.when(F.col("product_known"), F.col("product_id")).alias("product"),
+        F.when(F.col("seller_known"), F.col("seller_id")).alias("seller"),
+    ]
+
+
+def _hashed_keys() -> list[Column]:
+    return [
+        known_key("person").alias("customer_key"),
+        known_key("product").alias("product_key"),
+        known_key("seller").alias("seller_key"),
+    ]
 
 
 def fact_sales(lines: DataFrame, with_voucher: bool = False) -> DataFrame:
     """One row per sold item; the order's paid total is repeated on each of its items."""
-    flag = ["is_voucher"] if with_voucher else []
-    return lines.select(
-        surrogate_key("order_id", "order_item_id").alias("sale_key"),
-        "customer_key",
-        "product_key",
-        "seller_key",
-        date_key("order_purchase_timestamp").alias("date_key"),
-        "price",
-        "freight_value",
-        "payment_value",
-        "payment_installments",
-        *flag,
-    ).distinct()
+    measures = ["date_key", "price", "freight_value", "payment_value", "payment_installments"]
+    if with_voucher:
+        measures.append("is_voucher")
+    sold = lines.withColumn("date_key", date_key("order_purchase_timestamp")).select(
+        key_text("order_id", "order_item_id").alias("sale"), *_natural_keys(), *measures
+    )
+    return sold.distinct().select(
+        F.sha2("sale", 256).alias("sale_key"),
+        *_hashed_keys(),
+        *measures,
+    )
 
 
-def fact_shipping(lines: DataFrame) -> DataFrame:
+def fact_shipping(lines: DataFrame, by_day: bool = False) -> DataFrame:
     """Delivered items: days to deliver, days after the estimate, late or not.
 
     Days are calendar days, while ``is_late`` compares the full times, so a parcel can
     be late with an error of 0 days.
+
+    ``by_day`` orders the rows by day across and within files, so that readers can skip
+    files by date. The shipment is part of that order, which spreads a busy day over
+    several tasks.
     """
     purchased = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
-    return (
+    measures = ["date_key", "delivery_lead_time", "estimated_delivery_error", "is_late"]
+    shipped = (
         lines.select(
-            surrogate_key("order_id", "order_item_id", "seller_id").alias("shipping_key"),
-            "customer_key",
-            "product_key",
-            "seller_key",
+            key_text("order_id", "order_item_id", "seller_id").alias("shipment"),
+            *_natural_keys(),
             date_key(purchased).alias("date_key"),
             F.datediff(delivered, purchased).alias("delivery_lead_time"),
             F.datediff(delivered, estimated).alias("estimated_delivery_error"),
@@ -197,14 +226,14 @@ def fact_shipping(lines: DataFrame) -> DataFrame:
         .filter(F.col("delivery_lead_time").isNotNull())
         .distinct()
     )
-
-
-def clustered_by_day(fact: DataFrame, key: str) -> DataFrame:
-    """Rows ordered by day across and within files, so readers can skip files by date.
-
-    The fact's own key is part of the order: a busy day is spread over several tasks.
-    """
-    return fact.repartitionByRange("date_key", key).sortWithinPartitions("date_key", key)
+    if by_day:
+        order = ["date_key", "shipment"]
+        shipped = shipped.repartitionByRange(*order).sortWithinPartitions(*order)
+    return shipped.select(
+        F.sha2("shipment", 256).alias("shipping_key"),
+        *_hashed_keys(),
+        *measures,
+    )
 
 
 def fact_reviews(order_reviews: DataFrame, lines: DataFrame) -> DataFrame:
@@ -215,26 +244,24 @@ def fact_reviews(order_reviews: DataFrame, lines: DataFrame) -> DataFrame:
     settle for the partitioning by order that the joins leave, and a hot order could
     then not be split.
     """
-    sold = distinct_rows(lines.select("order_id", "product_id", "seller_id", "customer_key"))
+    sold = distinct_rows(lines.select("order_id", "product_id", "seller_id", "person"))
     comment = F.coalesce("review_comment_message", F.lit(""))
+    measures = ["date_key", "order_id", "review_score", "comment_length", "response_time"]
     reviewed = order_reviews.select(
-        "order_id",
         "review_id",
+        "order_id",
         date_key("review_creation_date").alias("date_key"),
         F.col("review_score").cast("int").alias("review_score"),
         F.length(comment).alias("comment_length"),
         F.col("review_answer_timestamp").cast("timestamp").alias("response_time"),
     ).distinct()
-    return distinct_rows(
-        reviewed.join(sold, "order_id").select(
-            surrogate_key("review_id", "product_id", "seller_id").alias("review_key"),
-            "customer_key",
-            "date_key",
-            "order_id",
-            "review_score",
-            "comment_length",
-            "response_time",
-        )
+    pairs = reviewed.join(sold, "order_id").select(
+        key_text("review_id", "product_id", "seller_id").alias("review"), "person", *measures
+    )
+    return distinct_rows(pairs).select(
+        F.sha2("review", 256).alias("review_key"),
+        known_key("person").alias("customer_key"),
+        *measures,
     )
 
 

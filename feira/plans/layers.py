@@ -109,8 +109,7 @@ def run_facts(lake: Lake) -> None:
     lake.write(gold.fact_sales(lines), "gold", "fact_sales")
     reviews = gold.fact_reviews(lake.table("silver", "order_reviews"), lines)
     lake.write(reviews, "gold", "fact_reviews")
-    shipping = gold.clustered_by_day(gold.fact_shipping(lines), "shipping_key")
-    lake.write(shipping, "gold", "fact_shipping")
+    lake.write(gold.fact_shipping(lines, by_day=True), "gold", "fact_shipping")
 
 
 def run_gold(

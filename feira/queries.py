@@ -249,7 +249,7 @@ _BUILDERS: dict[str, Callable[[_Tables], DataFrame]] = {
     "fact_sales": lambda t: gold.fact_sales(t.lines(paid=True)),
     "sales_with_voucher": lambda t: gold.fact_sales(t.lines(paid=True), with_voucher=True),
     "fact_reviews": lambda t: gold.fact_reviews(t.order_reviews(), t.lines()),
-    "fact_shipping": lambda t: gold.clustered_by_day(t.fact_shipping(), "shipping_key"),
+    "fact_shipping": lambda t: gold.fact_shipping(t.lines(), by_day=True),
     "shipping_distance": shipping_distance,
     "review_response_days": lambda t: gold.review_response_days(t.order_reviews()),
     "rfm_features": _Tables.rfm,

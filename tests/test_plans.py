@@ -204,10 +204,21 @@ def test_items_are_not_shuffled_by_customer(hot, hot_lines):
 def test_unused_dimension_joins_disappear(hot, hot_lines):
     plan = gold.fact_reviews(hot["order_reviews"], hot_lines)._jdf.queryExecution()
     text = plan.optimizedPlan().toString()
-    assert "product_key" not in text and "seller_key" not in text
+    assert "product_known" not in text and "seller_known" not in text
     assert "payment_value" not in text
 
 
+def test_hashes_are_made_after_the_last_shuffle(hot, hot_lines):
+    for fact in (
+        gold.fact_sales(hot_lines),
+        gold.fact_shipping(hot_lines, by_day=True),
+        gold.fact_reviews(hot["order_reviews"], hot_lines),
+    ):
+        assert "sha2" in fact._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "sha2" not in plan[plan.index("Exchange") :]
+
+
 def test_rfm_reads_three_of_nine_columns_of_the_sales(spark, hot_lines):
     sales = store(gold.fact_sales(hot_lines), "fact_sales")
     customers = store(sales.select("customer_key").distinct().selectExpr(

@@ -154,16 +154,17 @@ def test_export_csv(spark, tmp_path):
 
 
 def test_create_tables(spark):
-    names = sinks.create_tables(spark)
+    layers = {f"empty_{layer}": tables for layer, tables in schemas.LAYERS.items()}
+    names = sinks.create_tables(spark, layers=layers)
     assert len(names) == 23
-    assert len(sinks.create_tables(spark)) == 23
-    for layer, tables in schemas.LAYERS.items():
+    for layer, tables in layers.items():
         for table, ddl in tables.items():
             created = spark.table(f"spark_catalog.{layer}.{table}")
             assert created.schema == schemas.struct(ddl)
             assert created.isEmpty()
-    for name in names:
-        spark.sql(f"DROP TABLE {name}")
+    spark.sql("INSERT INTO empty_gold.dim_sellers VALUES ('k', 's', 1, 'rio', 'RJ')")
+    assert sinks.create_tables(spark, layers=layers) == names
+    assert spark.table("empty_gold.dim_sellers").count() == 1
 
 
 def test_write_table_replaces_rows_and_schema(spark):
