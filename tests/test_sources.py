@@ -206,3 +206,11 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         working.shared_folder(session)
     settings["spark.checkpoint.dir"] = "hdfs://x/working/"
     assert working.shared_folder(session) == "hdfs://x/working"
+
+
+def test_byte_order_mark_is_not_part_of_the_first_column(spark, tmp_path):
+    lookup = "product_category_name,product_category_name_english\nbebes,baby\n"
+    path = put(tmp_path / "in", "translation.csv", "﻿" + lookup)
+    assert rows(exports.read_export(spark, path, schemas.TRANSLATION)) == [("bebes", "baby")]
+    path = put(tmp_path / "in", "reviews.csv", "﻿" + REVIEWS)
+    assert exports.read_export(spark, path, "order_reviews").count() == 2
