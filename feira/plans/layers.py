@@ -119,13 +119,30 @@ def run_gold(
     run_facts(lake)
 
 
-def run_segments(lake: Lake, csv_folder: str | None = None) -> None:
+def run_measures(lake: Lake) -> None:
+    """Distances and response days, next to the facts that they belong to."""
+    far = gold.shipping_distance(
+        lake.table("gold", "fact_shipping"),
+        lake.table("gold", "dim_customers"),
+        lake.table("gold", "dim_sellers"),
+        lake.table("silver", "geolocation"),
+    )
+    lake.write(far, "gold", "shipping_distance")
+    answered = gold.review_response_days(lake.table("silver", "order_reviews"))
+    lake.write(answered, "gold", "review_response_days")
+
+
+def run_segments(
+    lake: Lake, csv_folder: str | None = None, partitions: int | None = None
+) -> None:
+    """``partitions`` fixes the layout that k-means starts from; see ``segments.segment``."""
     totals = segments.rfm_totals(
         lake.table("gold", "fact_sales"),
         lake.table("gold", "dim_date"),
         lake.table("gold", "dim_customers"),
     )
     features = segments.rfm_features(store(totals, "rfm_totals"))
-    lake.write(segments.segment(features), "gold", schemas.SEGMENTS)
+    clustered = segments.segment(features, partitions=partitions)
+    lake.write(clustered, "gold", schemas.SEGMENTS)
     if csv_folder is not None:
         export_csv(lake.table("gold", schemas.SEGMENTS), csv_folder)

@@ -7,6 +7,7 @@ value with those of another engine.
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,43 +36,67 @@ FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
 CENTRES = [(1.5, -0.5, -0.5), (-0.5, -0.5, -0.5), (-0.5, 0.5, 0.5), (-0.5, 2.0, 2.0)]
 
 
+def _once(build):
+    """A frame that several others start from is built, and analysed, once."""
+
+    @wraps(build)
+    def get(self):
+        if build.__name__ not in self.made:
+            self.made[build.__name__] = build(self)
+        return self.made[build.__name__]
+
+    return get
+
+
 class _Tables:
     """Silver and gold frames over one folder of test tables, built on demand."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.raw = Market(spark, folder)
         self.spark = spark
+        self.made: dict[str, DataFrame] = {}
 
+    @_once
     def customers(self):
         return silver.customers(self.raw.customers())
 
+    @_once
     def orders(self):
         return silver.orders(self.raw.orders())
 
+    @_once
     def products(self):
         return silver.products(self.raw.products(), self.raw.translation())
 
+    @_once
     def sellers(self):
         return silver.sellers(self.raw.sellers())
 
+    @_once
     def order_items(self):
         return silver.order_items(self.raw.order_items())
 
+    @_once
     def order_reviews(self):
         return silver.order_reviews(self.raw.order_reviews())
 
+    @_once
     def order_payments(self):
         return silver.order_payments(self.raw.order_payments())
 
+    @_once
     def geolocation(self):
         return silver.geolocation(self.raw.geolocation())
 
+    @_once
     def dim_customers(self):
         return gold.dim_customers(self.customers())
 
+    @_once
     def dim_products(self):
         return gold.dim_products(self.products())
 
+    @_once
     def dim_sellers(self):
         return gold.dim_sellers(self.sellers())
 

@@ -16,9 +16,13 @@ class Market:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """Opened once: finding out a schema is a Spark job of its own."""
+        if table not in self._opened:
+            self._opened[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._opened[table]
 
     def customers(self) -> DataFrame:
         """Two accounts per person."""

@@ -36,7 +36,8 @@ def lake(spark, tmp_path_factory):
     lake = layers.Lake(spark, root)
     layers.run_silver(lake)
     layers.run_gold(lake, queries.FIRST_DAY, queries.LAST_DAY)
-    layers.run_segments(lake, csv_folder=f"{root}/export")
+    layers.run_measures(lake)
+    layers.run_segments(lake, csv_folder=f"{root}/export", partitions=3)
     return lake
 
 
@@ -70,6 +71,7 @@ def test_silver_tables(lake, spark, table, query):
         "fact_sales",
         "fact_reviews",
         "fact_shipping",
+        "review_response_days",
     ],
 )
 def test_gold_tables(lake, spark, name):
@@ -82,6 +84,13 @@ def test_gold_tables(lake, spark, name):
         ]
 
 
+def test_distances(lake, spark):
+    table = lake.table("gold", "shipping_distance")
+    km = F.round("shipping_distance_km", 4)
+    same(table.withColumn("shipping_distance_km", km), "shipping_distance", spark)
+    assert not table.filter("shipping_distance_km > 0").isEmpty()
+
+
 def test_segments(lake, spark):
     table = lake.table("gold", schemas.SEGMENTS)
     same(table.drop("Cluster"), "rfm_features", spark)
