@@ -11,7 +11,7 @@ from feira.operators import orphans, row_audit
 from feira.plans import gold, segments, silver
 from feira.sources import calendar
 from feira.sources.sinks import SESSION_CATALOG, export_csv, write_table
-from feira.sources.working import store
+from feira.sources.working import store, working_folder
 
 # (child, parent, key) pairs that should match within silver.
 LINKS = [
@@ -97,19 +97,18 @@ def run_facts(lake: Lake) -> None:
         lake.table("gold", "dim_customers"),
         lake.table("silver", "order_payments"),
     )
-    lines = store(
-        gold.order_lines(
-            lake.table("silver", "order_items"),
-            header,
-            lake.table("gold", "dim_products"),
-            lake.table("gold", "dim_sellers"),
-        ),
-        "order_lines",
+    joined = gold.order_lines(
+        lake.table("silver", "order_items"),
+        header,
+        lake.table("gold", "dim_products"),
+        lake.table("gold", "dim_sellers"),
     )
-    lake.write(gold.fact_sales(lines), "gold", "fact_sales")
-    reviews = gold.fact_reviews(lake.table("silver", "order_reviews"), lines)
-    lake.write(reviews, "gold", "fact_reviews")
-    lake.write(gold.fact_shipping(lines, by_day=True), "gold", "fact_shipping")
+    with working_folder(lake.spark) as folder:
+        lines = store(joined, "order_lines", folder)
+        lake.write(gold.fact_sales(lines), "gold", "fact_sales")
+        reviews = gold.fact_reviews(lake.table("silver", "order_reviews"), lines)
+        lake.write(reviews, "gold", "fact_reviews")
+        lake.write(gold.fact_shipping(lines, by_day=True), "gold", "fact_shipping")
 
 
 def run_gold(
@@ -141,8 +140,9 @@ def run_segments(
         lake.table("gold", "dim_date"),
         lake.table("gold", "dim_customers"),
     )
-    features = segments.rfm_features(store(totals, "rfm_totals"))
-    clustered = segments.segment(features, partitions=partitions)
-    lake.write(clustered, "gold", schemas.SEGMENTS)
+    with working_folder(lake.spark) as folder:
+        features = segments.rfm_features(store(totals, "rfm_totals", folder))
+        clustered = segments.segment(features, partitions=partitions, folder=folder)
+        lake.write(clustered, "gold", schemas.SEGMENTS)
     if csv_folder is not None:
         export_csv(lake.table("gold", schemas.SEGMENTS), csv_folder)

@@ -80,6 +80,7 @@ def segment(
     k: int = SEGMENT_COUNT,
     seed: int = SEED,
     partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Add ``Cluster``: k-means on the standardised features.
 
@@ -87,12 +88,13 @@ def segment(
     The features are stored once, hashed by person into a fixed number of partitions
     and sorted: the fit reads the same layout every time, its passes do not repeat the
     aggregation, and a lost executor costs a file read. Clusters are numbered by rising
-    monetary value of their centres. No rows in, no rows out.
+    monetary value of their centres. No rows in, no rows out. The result reads the
+    stored features, so a working ``folder`` has to last until it has been written.
     """
     spark = features.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = features.repartition(count, *PERSON).sortWithinPartitions(*PERSON)
-    stored = store(laid_out, "rfm_features")
+    stored = store(laid_out, "rfm_features", folder)
     if stored.isEmpty():
         return stored.withColumn("Cluster", F.lit(None).cast("int"))
     scaled = standardise(stored)

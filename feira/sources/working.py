@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +30,28 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="feira-")
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write once as Parquet in the shared folder and read back.
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def working_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own inside the shared one, deleted when the block ends."""
+    folder = new_folder(spark)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write once as Parquet, in a new folder inside the shared one, and read back.
 
     Cuts the lineage: later jobs do not recompute the input when an executor is lost,
-    and each reads only the columns it needs.
+    and each reads only the columns it needs. Without a ``folder`` from
+    ``working_folder`` the files stay, since only the caller knows when they are done.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}/{label}"
+    path = f"{folder or new_folder(df.sparkSession)}/{label}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

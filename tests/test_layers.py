@@ -1,5 +1,7 @@
 """Whole runs over the smallest test tables, from files to segments."""
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
@@ -100,6 +102,14 @@ def test_segments(lake, spark):
     assert exported.count() == table.count() > 0
 
 
+def test_runs_leave_no_working_files(spark, lake):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("feira-*"))
+    layers.run_facts(lake)
+    layers.run_segments(lake)
+    assert set(shared.glob("feira-*")) == before
+
+
 def test_shipping_is_written_in_day_order(lake):
     files = lake.table("gold", "fact_shipping").select(
         F.input_file_name().alias("file"), "date_key"

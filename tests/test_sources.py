@@ -1,4 +1,5 @@
 from decimal import Decimal
+from pathlib import Path
 from unittest.mock import MagicMock
 
 import pytest
@@ -198,6 +199,17 @@ def test_store_uses_the_folder_the_session_names(spark):
     assert "LogicalRDD" not in stored._jdf.queryExecution().analyzed().toString()
 
 
+def test_a_working_folder_goes_when_it_is_done(spark):
+    folders = []
+    with pytest.raises(RuntimeError), working.working_folder(spark) as folder:
+        folders.append(Path(folder))
+        assert working.store(spark.range(5), "numbers", folder).count() == 5
+        assert (folders[0] / "numbers").is_dir()
+        raise RuntimeError("a failed run cleans up too")
+    assert not folders[0].exists()
+    assert folders[0].parent.is_dir()
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     session = MagicMock()
     settings = {"spark.master": "yarn"}
