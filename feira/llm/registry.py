@@ -1,8 +1,9 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import exact_dedup
+from feira.llm import exact_dedup, quality_rules
 
 QUERIES = {
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
 
