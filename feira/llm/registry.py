@@ -1,8 +1,10 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import exact_dedup, quality_rules
+from feira.llm import exact_dedup, mixing, quality_rules, simhash
 
 QUERIES = {
+    "op3_simhash": simhash.op3_simhash,
+    "op7_mixing": mixing.op7_mixing,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
