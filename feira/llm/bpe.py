@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm.common import read_documents, ship, texts
+from feira.llm.common import read_documents, ship, sliced, texts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -255,7 +255,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary.value.made()
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [bpe.encode(text).astype(np.int32) for text in texts(batch["text"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
@@ -278,8 +278,8 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked for.
 
     Each text is encoded whole and decoded from its ids in the same task, so ids do not leave
     it. A null text is an empty one: no tokens, digests of nothing. Repeated rows give repeated
@@ -289,7 +289,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary.value.made()
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text in texts(batch["text"]):
                 ids = bpe.encode(text)
@@ -299,22 +299,18 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                         len(ids),
                         hashlib.sha256(bpe.listed(ids)).hexdigest(),
                         hashlib.sha256(decoded).hexdigest(),
+                        ids.astype(np.int32) if with_ids else None,
                     )
                 )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array([row[0] for row in rows], pa.int64()),
-                    pa.array([row[1] for row in rows], pa.string()),
-                    pa.array([row[2] for row in rows], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())][: len(names) - 1]
+            columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names)
 
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" if with_ids else ""
+    names = [field.split()[0] for field in schema.split(", ")]
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return light.mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    return light.mapInArrow(digest, schema)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

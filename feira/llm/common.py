@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,17 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or one row if it is longer."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The strings of an Arrow column one by one, null as the empty string."""
     for value in column:

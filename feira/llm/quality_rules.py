@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feira.llm.common import byte_texts, read_documents, ship, small, stored
+from feira.llm.common import byte_texts, read_documents, ship, sliced, small, stored
 from feira.sources.working import new_folder
 
 # Base rules.
@@ -37,8 +37,10 @@ WHITE = " \t\n\r\x0b\x0c"
 OUTER = ".,;:!?()\"'"
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "symbol", "other"]
 
+ROW = "_feira_row"
+
 _ROW = (
-    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
+    "row long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
     " n_repeat_words long, classes array<long>, words array<string>, counts array<long>"
 )
 
@@ -117,9 +119,9 @@ def measure(data: bytes, short: dict[bytes, str]) -> tuple:
 def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     short = _ShortWords()
     names = [field.split()[0] for field in _ROW.split(", ")]
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [measure(data, short) for data in byte_texts(batch["text"])]
-        columns = [batch["doc_id"], batch["lang"]]
+        columns = [batch["row"], batch["doc_id"], batch["lang"]]
         kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.string())]
         kinds.append(pa.list_(pa.int64()))
         columns += [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
@@ -128,8 +130,10 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def measures(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
-    keys = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")]
-    return docs.select(*keys, "text").mapInArrow(_measure_batches, _ROW)
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    doc_id, lang = F.col("doc_id").cast("long"), F.col("lang").cast("string")
+    light = docs.select(row.alias("row"), doc_id.alias("doc_id"), lang.alias("lang"), "text")
+    return light.mapInArrow(_measure_batches, _ROW)
 
 
 def base_failed() -> Column:
@@ -248,6 +252,19 @@ def distances(counts: DataFrame, classes: DataFrame, words: DataFrame | None = N
     return joined.mapInArrow(_distance_batches, f"{_ROW}, class_distance double, word_distance double")
 
 
+def verdicts(docs: DataFrame, folder: str) -> DataFrame:
+    """Counts of every row with both distances, base_failed and kept."""
+    counts = stored(measures(docs), "measures", folder)
+    passing = counts.where(~base_failed())
+    rough = stored(class_references(passing), "rough", folder)
+    near = distances(passing, rough).where(F.col("class_distance") <= MAX_ROUGH_DISTANCE)
+    classes = stored(class_references(near), "classes", folder)
+    words = stored(word_references(near), "words", folder)
+    return distances(counts, classes, words).select(
+        "*", base_failed().alias("base_failed"), (~base_failed() & ~diverges()).alias("kept")
+    )
+
+
 def quality_verdicts(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """One row per document with its counts, distances and verdict.
 
@@ -256,26 +273,28 @@ def quality_verdicts(docs: DataFrame, folder: str | None = None) -> DataFrame:
     rules alone. Repeated rows are judged each, ties cannot occur, an empty table gives no
     rows. Of other columns none is read.
     """
-    folder = folder or new_folder(docs.sparkSession)
-    counts = stored(measures(docs), "measures", folder)
-    passing = counts.where(~base_failed())
-    rough = stored(class_references(passing), "rough", folder)
-    near = distances(passing, rough).where(F.col("class_distance") <= MAX_ROUGH_DISTANCE)
-    classes = stored(class_references(near), "classes", folder)
-    words = stored(word_references(near), "words", folder)
-    return distances(counts, classes, words).select(
+    return verdicts(docs, folder or new_folder(docs.sparkSession)).select(
         "doc_id",
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        base_failed().alias("base_failed"),
-        (~base_failed() & ~diverges()).alias("kept"),
+        "base_failed",
+        "kept",
         "class_distance",
         "word_distance",
     )
 
 
+def drop_rejected(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """``docs`` without the documents that the rules reject, all columns as they were."""
+    folder = folder or new_folder(docs.sparkSession)
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered", folder)
+    rejected = verdicts(numbered, folder).where("not kept").select(F.col("row").alias(ROW))
+    rejected = small(stored(rejected, "rejected", folder))
+    return numbered.join(rejected, ROW, "left_anti").select(*docs.columns)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_documents(spark, sf_dir))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm.common import byte_texts, read_documents, ship, small, stored
+from feira.llm.common import byte_texts, read_documents, ship, sliced, small, stored
 from feira.llm.components import components
 from feira.sources.working import new_folder
 
@@ -57,7 +57,7 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         values = np.array([fingerprint(data) for data in byte_texts(batch["text"])], np.uint64)
         yield pa.RecordBatch.from_arrays(
             [batch["row"], batch["doc_id"], pa.array(values.view(np.int64))], ["row", "doc_id", "fp"]
