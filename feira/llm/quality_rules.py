@@ -1,13 +1,14 @@
 """Quality rules: counts per document, and its distance from what its language looks like.
 
-A language's reference is the sum over all documents that pass the base rules: a histogram
-of character classes, and one of its most common short words. A document that is long enough
+A language's reference is the sum over all its documents that are not very short: a histogram of
+character classes, and one of its most common short words. A document that is long enough
 to be judged is rejected if the Jensen-Shannon distance between its histogram and the
-reference is above a threshold. Texts are read once, in Python; what is kept of each is a row
-of counts, and references and distances are DataFrame work on those rows.
+reference is above a threshold. Texts are read twice: once for the references, of which each
+task sends sums, and once to measure and judge each document.
 """
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,16 +34,15 @@ COMMON_WORDS = 32
 # Words that can be common ones: without outer punctuation, of so many characters at most.
 SHORT_WORD = 6
 
+# A word can have so many bytes at most, punctuation included, to be looked at.
+_SHORT_BYTES = 12
+
 WHITE = " \t\n\r\x0b\x0c"
 OUTER = ".,;:!?()\"'"
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "symbol", "other"]
 
-ROW = "_feira_row"
-
-_ROW = (
-    "row long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
-    " n_repeat_words long, classes array<long>, words array<string>, counts array<long>"
-)
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_VERDICT = "base_failed boolean, kept boolean, class_distance double, word_distance double"
 
 
 @cache
@@ -61,18 +61,33 @@ def _class_table() -> np.ndarray:
     return table
 
 
-class _ShortWords(dict):
-    """Word in bytes to what it counts as among common words, "" if it is none; bounded."""
+class _Plain(dict):
+    """Word in bytes to its form among common words, "" if it cannot be one; bounded."""
 
     def __missing__(self, word: bytes) -> str:
         plain = word.decode().lower().strip(OUTER)
         found = plain if len(plain) <= SHORT_WORD and plain.isalpha() else ""
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = found
         return found
 
 
+def short_words(words: list[bytes], plain: dict[bytes, str]) -> dict[str, int]:
+    """How often each form that can be a common word occurs."""
+    found: dict[str, int] = {}
+    counted = Counter([word for word in words if len(word) <= _SHORT_BYTES])
+    for form, n in zip(map(plain.__getitem__, counted), counted.values(), strict=True):
+        if form:
+            found[form] = found.get(form, 0) + n
+    return found
+
+
+def class_counts(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.bincount(_class_table()[points], minlength=len(CLASSES))
+
+
 def repeated_words(ids: np.ndarray, kinds: int) -> int:
     """How many words lie in a window of three words that occurs twice or more."""
     if len(ids) < 3:
@@ -90,107 +105,34 @@ def repeated_words(ids: np.ndarray, kinds: int) -> int:
     return int(covered.sum())
 
 
-def measure(data: bytes, short: dict[bytes, str]) -> tuple:
-    """All counts of one text, in the order of ``_ROW`` after lang."""
-    text = data.decode()
-    words = data.split()  # bytes are split at the six ASCII white-space characters
+def base_counts(text: str, words: list[bytes]) -> tuple[int, ...]:
+    """The counts of ``_COUNTS``."""
     number = {word: i for i, word in enumerate(dict.fromkeys(words))}
     ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     lines = [line for line in text.split("\n") if line.strip(WHITE)]
-    common: dict[str, int] = {}
-    times = np.bincount(ids, minlength=len(number)).tolist()
-    for plain, n in zip(map(short.__getitem__, number), times, strict=True):
-        if plain:
-            common[plain] = common.get(plain, 0) + n
-    points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
-    classes = np.bincount(_class_table()[points], minlength=len(CLASSES))
     return (
         len(words),
         len(text) - sum(map(text.count, WHITE)),
         sum(map(text.count, SYMBOLS)),
         len(lines) - len(set(lines)),
         repeated_words(ids, max(1, len(number))),
-        classes.tolist(),
-        list(common),
-        list(common.values()),
     )
 
 
-def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    short = _ShortWords()
-    names = [field.split()[0] for field in _ROW.split(", ")]
-    for batch in sliced(batches):
-        rows = [measure(data, short) for data in byte_texts(batch["text"])]
-        columns = [batch["row"], batch["doc_id"], batch["lang"]]
-        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.string())]
-        kinds.append(pa.list_(pa.int64()))
-        columns += [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def measures(docs: DataFrame) -> DataFrame:
-    ship(docs.sparkSession)
-    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
-    doc_id, lang = F.col("doc_id").cast("long"), F.col("lang").cast("string")
-    light = docs.select(row.alias("row"), doc_id.alias("doc_id"), lang.alias("lang"), "text")
-    return light.mapInArrow(_measure_batches, _ROW)
+def base_failed(n_words: int, n_repeat_words: int) -> bool:
+    return n_words < MIN_WORDS or 100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    )
-
-
-def diverges() -> Column:
+def diverges(n_words: int, word_chars: int, class_distance: float, word_distance: float) -> bool:
     """Whether a distance is above its threshold, for a document with enough text to judge.
 
     Short texts lie further from any reference by chance, in proportion to the root of their
     number of words, so a threshold has a part that shrinks with it.
     """
-
-    def above(distance: str, limit: float, chance: float) -> Column:
-        return F.col(distance) > limit + chance / F.sqrt("n_words")
-
-    by_class = (F.col("word_chars") >= MIN_CLASS_CHARS) & above(
-        "class_distance", MAX_CLASS_DISTANCE, CLASS_CHANCE
-    )
-    by_word = (F.col("n_words") >= MIN_WORD_COUNT) & above(
-        "word_distance", MAX_WORD_DISTANCE, WORD_CHANCE
-    )
-    return F.coalesce(by_class | by_word, F.lit(False))
-
-
-def class_references(counts: DataFrame) -> DataFrame:
-    """Per language the summed character classes; a null language is one of its own."""
-    return (
-        counts.groupBy(F.coalesce("lang", F.lit("")).alias("lang"))
-        .agg(*[F.sum(F.col("classes")[i]).alias(f"class_{i}") for i in range(len(CLASSES))])
-        .select("lang", F.array(*[f"class_{i}" for i in range(len(CLASSES))]).alias("ref_classes"))
-    )
-
-
-def word_references(counts: DataFrame) -> DataFrame:
-    """Per language its common words and how often each occurs, and the number of all words.
-
-    Of words that are equally common the one that sorts first counts. Sums are made per task
-    before they are shuffled.
-    """
-    own = counts.withColumn("lang", F.coalesce("lang", F.lit("")))
-    sums = (
-        own.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("entry"))
-        .groupBy("lang", F.col("entry.words").alias("word"))
-        .agg(F.sum("entry.counts").alias("n"))
-    )
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = (
-        sums.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= COMMON_WORDS)
-        .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-        .select("lang", F.col("top.word").alias("ref_top"), F.col("top.n").alias("ref_counts"))
-    )
-    return own.groupBy("lang").agg(F.sum("n_words").alias("ref_words")).join(top, "lang", "left")
+    chance = max(1, n_words) ** -0.5
+    by_class = class_distance > MAX_CLASS_DISTANCE + CLASS_CHANCE * chance
+    by_word = word_distance > MAX_WORD_DISTANCE + WORD_CHANCE * chance
+    return (word_chars >= MIN_CLASS_CHARS and by_class) or (n_words >= MIN_WORD_COUNT and by_word)
 
 
 def js_distance(left: np.ndarray, right: np.ndarray) -> float:
@@ -212,88 +154,163 @@ def word_vector(found: list[int], all_words: int) -> np.ndarray:
     return np.array([*found, max(0, all_words - sum(found))], float)
 
 
-def _distances(batch: pa.RecordBatch) -> tuple[list[float], list[float]]:
-    columns = batch.to_pydict()
-    references: dict[str, tuple[np.ndarray, list[str], np.ndarray]] = {}
-    by_class, by_word = [], []
-    for i, language in enumerate(columns["_lang"]):
-        if language not in references:
-            top = columns["ref_top"][i] or []
-            total = columns["ref_words"][i] or 0
-            expected = word_vector(columns["ref_counts"][i] or [], total)
-            usual = np.array(columns["ref_classes"][i] or [0] * len(CLASSES), float)
-            references[language] = usual, top, expected
-        usual, top, expected = references[language]
-        own = dict(zip(columns["words"][i], columns["counts"][i], strict=True))
-        found = word_vector([own.get(word, 0) for word in top], columns["n_words"][i])
-        by_class.append(js_distance(np.array(columns["classes"][i], float), usual))
-        by_word.append(js_distance(found, expected))
-    return by_class, by_word
-
-
-def _distance_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of class counts per document, and sums of short words per language and task."""
+    plain, sums = _Plain(), {}
+    names = ["lang", "n_words", "classes", "word", "n"]
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.int64()]
+
+    def rows(values: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array([v[i] for v in values], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    def summed() -> pa.RecordBatch:
+        entries = [(lang, None, None, word, n) for (lang, word), n in sums.items()]
+        sums.clear()
+        return rows(entries)
+
+    for batch in sliced(batches):
+        found = []
+        for lang, data in zip(batch["lang"].to_pylist(), byte_texts(batch["text"]), strict=True):
+            words = data.split()
+            if len(words) < MIN_WORDS:
+                continue
+            found.append((lang, len(words), class_counts(data.decode()).tolist(), None, None))
+            for word, n in short_words(words, plain).items():
+                sums[lang, word] = sums.get((lang, word), 0) + n
+        yield rows(found)
+        if len(sums) > 200_000:
+            yield summed()
+    yield summed()
+
+
+def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose class counts are not far from ``ref_classes``."""
     for batch in batches:
-        by_class, by_word = _distances(batch)
-        names = [field.split()[0] for field in _ROW.split(", ")]
-        columns = [batch[name] for name in names]
-        columns += [pa.array(by_class, pa.float64()), pa.array(by_word, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, [*names, "class_distance", "word_distance"])
-
-
-def distances(counts: DataFrame, classes: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """``counts`` with the distances from their language's references, 0 if there is none."""
-    joined = counts.withColumn("_lang", F.coalesce("lang", F.lit("")))
-    for reference in [classes, words] if words is not None else [classes]:
-        renamed = reference.withColumnRenamed("lang", "_lang")
-        joined = joined.join(small(renamed, rows=10_000), "_lang", "left")
-    if words is None:
-        nothing = [("ref_words", "long"), ("ref_top", "array<string>"), ("ref_counts", "array<long>")]
-        joined = joined.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in nothing])
-    return joined.mapInArrow(_distance_batches, f"{_ROW}, class_distance double, word_distance double")
-
-
-def verdicts(docs: DataFrame, folder: str) -> DataFrame:
-    """Counts of every row with both distances, base_failed and kept."""
-    counts = stored(measures(docs), "measures", folder)
-    passing = counts.where(~base_failed())
-    rough = stored(class_references(passing), "rough", folder)
-    near = distances(passing, rough).where(F.col("class_distance") <= MAX_ROUGH_DISTANCE)
-    classes = stored(class_references(near), "classes", folder)
-    words = stored(word_references(near), "words", folder)
-    return distances(counts, classes, words).select(
-        "*", base_failed().alias("base_failed"), (~base_failed() & ~diverges()).alias("kept")
+        usual = {lang: np.array(classes, float) for lang, classes in zip(batch["lang"].to_pylist(), batch["ref_classes"].to_pylist(), strict=True)}
+        near = [
+            js_distance(np.array(classes, float), usual[lang]) <= MAX_ROUGH_DISTANCE
+            for lang, classes in zip(batch["lang"].to_pylist(), batch["classes"].to_pylist(), strict=True)
+        ]
+        yield batch.filter(pa.array(near)).select(["lang", "classes"])
+
+
+def _summed_classes(rows: DataFrame) -> DataFrame:
+    sums = [F.sum(F.col("classes")[i]).alias(f"class_{i}") for i in range(len(CLASSES))]
+    columns = F.array(*[f"class_{i}" for i in range(len(CLASSES))])
+    return rows.groupBy("lang").agg(*sums).select("lang", columns.alias("ref_classes"))
+
+
+def references(docs: DataFrame, folder: str) -> DataFrame:
+    """Per language: summed character classes, number of words, common words and their counts.
+
+    Documents whose character classes are far from the sum over their language are left out of
+    its classes. Of words that are equally common the one that sorts first counts.
+    """
+    ship(docs.sparkSession)
+    light = docs.select(_language().alias("lang"), "text")
+    counts = light.mapInArrow(
+        _reference_batches, "lang string, n_words long, classes array<long>, word string, n long"
     )
+    counts = stored(counts, "counts", folder)
+    by_document, by_word = counts.where("word is null"), counts.where("word is not null")
+    rough = small(stored(_summed_classes(by_document), "rough", folder), rows=10_000)
+    near = by_document.select("lang", "classes").join(rough, "lang")
+    near = near.mapInArrow(_near_batches, "lang string, classes array<long>")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = (
+        by_word.groupBy("lang", "word")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= COMMON_WORDS)
+        .groupBy("lang")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+        .select("lang", F.col("top.word").alias("ref_top"), F.col("top.n").alias("ref_counts"))
+    )
+    words = by_document.groupBy("lang").agg(F.sum("n_words").alias("ref_words"))
+    joined = words.join(top, "lang", "left").join(_summed_classes(near), "lang", "left")
+    return stored(joined, "references", folder)
+
+
+def _language() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit(""))
+
+
+class _Judge:
+    """Measures texts and compares them with their language's reference."""
+
+    def __init__(self):
+        self.plain = _Plain()
+
+    def verdict(self, data: bytes, reference: tuple) -> tuple:
+        text, words = data.decode(), data.split()
+        usual, top, expected = reference
+        counts = base_counts(text, words)
+        own = short_words(words, self.plain)
+        found = word_vector([own.get(word, 0) for word in top], len(words))
+        by_class = js_distance(class_counts(text).astype(float), usual)
+        by_word = js_distance(found, expected)
+        failed = base_failed(counts[0], counts[4])
+        kept = not failed and not diverges(counts[0], counts[1], by_class, by_word)
+        return (*counts, failed, kept, by_class, by_word)
+
+    def verdicts(self, batch: pa.RecordBatch) -> list[tuple]:
+        languages = batch["_feira_lang"].to_pylist()
+        known = {}
+        for i, lang in enumerate(languages):
+            if lang not in known:
+                classes, top, counts, total = (
+                    batch[name][i].as_py() for name in ("ref_classes", "ref_top", "ref_counts", "ref_words")
+                )
+                usual = np.array(classes or [0] * len(CLASSES), float)
+                known[lang] = usual, top or [], word_vector(counts or [], total or 0)
+        return [
+            self.verdict(data, known[lang])
+            for lang, data in zip(languages, byte_texts(batch["text"]), strict=True)
+        ]
+
+
+def _with_references(docs: DataFrame, folder: str) -> DataFrame:
+    known = small(references(docs, folder), rows=10_000).withColumnRenamed("lang", "_feira_lang")
+    return docs.withColumn("_feira_lang", _language()).join(known, "_feira_lang", "left")
+
+
+def _verdict_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    judge = _Judge()
+    names = [*_COUNTS, *[field.split()[0] for field in _VERDICT.split(", ")]]
+    kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+    for batch in sliced(batches):
+        rows = judge.verdicts(batch)
+        columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *names])
 
 
 def quality_verdicts(docs: DataFrame, folder: str | None = None) -> DataFrame:
-    """One row per document with its counts, distances and verdict.
+    """One row per document: doc_id, five counts, base_failed, kept and both distances.
 
-    A null text has no words and fails the base rules. A null language is a language. A
-    document of a language in which no document passes the base rules is judged by the base
-    rules alone. Repeated rows are judged each, ties cannot occur, an empty table gives no
-    rows. Of other columns none is read.
+    A null text has no words and fails the base rules. A null language is a language, the same
+    as the empty one. A language without a document of ``MIN_WORDS`` words has no reference,
+    but there all fail the base rules. Repeated rows are judged each, ties cannot occur, an
+    empty table gives no rows. Of other columns none is read.
     """
-    return verdicts(docs, folder or new_folder(docs.sparkSession)).select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        "kept",
-        "class_distance",
-        "word_distance",
-    )
+    light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    joined = _with_references(light, folder or new_folder(docs.sparkSession))
+    counts = ", ".join(f"{name} long" for name in _COUNTS)
+    return joined.mapInArrow(_verdict_batches, f"doc_id long, {counts}, {_VERDICT}")
 
 
 def drop_rejected(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """``docs`` without the documents that the rules reject, all columns as they were."""
-    folder = folder or new_folder(docs.sparkSession)
-    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered", folder)
-    rejected = verdicts(numbered, folder).where("not kept").select(F.col("row").alias(ROW))
-    rejected = small(stored(rejected, "rejected", folder))
-    return numbered.join(rejected, ROW, "left_anti").select(*docs.columns)
+    columns = docs.columns
+
+    def kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _Judge()
+        for batch in sliced(batches):
+            kept = [row[6] for row in judge.verdicts(batch)]
+            yield batch.filter(pa.array(kept, pa.bool_())).select(columns)
+
+    joined = _with_references(docs, folder or new_folder(docs.sparkSession))
+    return joined.mapInArrow(kept_batches, docs.schema)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
