@@ -1,8 +1,9 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from feira.llm import bpe, exact_dedup, mixing, quality_rules, simhash, token_files
 
 QUERIES = {
+    "op10_token_files": token_files.op10_token_files,
     "op1_bpe": bpe.op1_bpe,
     "op3_simhash": simhash.op3_simhash,
     "op7_mixing": mixing.op7_mixing,
