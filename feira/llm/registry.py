@@ -1,8 +1,9 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import bpe, compress_score, exact_dedup, mixing, quality_rules, simhash, token_files
+from feira.llm import bpe, compress_score, exact_dedup, line_dedup, mixing, quality_rules, simhash, token_files
 
 QUERIES = {
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_compression_score": compress_score.op9_compression_score,
     "op10_token_files": token_files.op10_token_files,
     "op1_bpe": bpe.op1_bpe,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op8_line_dedup": line_dedup.OP8_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }
