@@ -1,8 +1,9 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import bpe, chat, compress_score, exact_dedup, line_dedup, mixing, quality_rules, simhash, token_files
+from feira.llm import bpe, chat, compress_score, exact_dedup, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_files
 
 QUERIES = {
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op4_chat": chat.op4_chat,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_compression_score": compress_score.op9_compression_score,
