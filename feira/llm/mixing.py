@@ -105,7 +105,15 @@ def shard_counts(sources: DataFrame) -> DataFrame:
     ).select("shard", F.least(F.lit(SHARD_SLOTS), F.col("n") - F.col("shard") * SHARD_SLOTS).alias("size"))
     shares = sources.agg(
         F.sort_array(F.collect_list(F.struct("sid", "expected"))).alias("s")
-    ).select(F.transform("s", lambda x: F.struct(x["sid"].alias("sid"), (x["expected"] / _sum("s.expected")).alias("p"))))
+    ).select(
+        F.transform(
+            "s",
+            lambda x: F.struct(
+                x["sid"].alias("sid"),
+                F.coalesce(F.try_divide(x["expected"], _sum("s.expected")), F.lit(0.0)).alias("p"),
+            ),
+        )
+    )
     per_shard = shards.withColumn("shares", shares.scalar())
     fixed = per_shard.select("shard", "size", F.explode("shares").alias("x")).select(
         "shard", F.col("x.sid").alias("sid"), F.floor(F.col("size") * F.col("x.p")).alias("slots")
