@@ -27,8 +27,9 @@ SHARD_SLOTS = 65_536
 SEED = 20
 
 ROW = "_feira_row"
-# A walk leaves the numbers above the block count after two steps on average.
-_WALK = 64
+# A walk leaves the numbers above the block count after two steps on average; few need more
+# than the first steps, and none more than all.
+_FIRST_STEPS, _MORE_STEPS = 3, 60
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -166,11 +167,17 @@ def permuted(number: Column, count: Column, *keys: Column) -> Column:
             right = right.bitwiseXOR(noise(high, turn + 1, low_size))
         return high * low_size + right
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(_WALK)),
-        rounds(number),
-        lambda x, _: F.when(x < count, x).otherwise(rounds(x)),
-    )
+    def walked(x: Column, steps: int) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(steps)),
+            x,
+            lambda y, _: F.when(y < count, y).otherwise(rounds(y)),
+        )
+
+    begun = F.array(walked(rounds(number), _FIRST_STEPS))
+    return F.transform(
+        begun, lambda x: F.when(x < count, x).otherwise(walked(x, _MORE_STEPS))
+    )[0]
 
 
 def slots(sources: DataFrame, folder: str) -> DataFrame:
@@ -182,7 +189,10 @@ def slots(sources: DataFrame, folder: str) -> DataFrame:
     known = ranges.join(small(sources.select("sid", "blocks")), "sid")
     # no source is passed over more than MAX_REPEATS times
     last = F.least(F.col("start") + F.col("slots"), F.col("blocks") * MAX_REPEATS) - 1
-    numbered = known.where(F.col("start") <= last).select(
+    # few rows become many: spread them over the cluster, whatever their own size
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = known.where(F.col("start") <= last).repartition(tasks, "shard", "sid")
+    numbered = spread.select(
         "shard", "sid", "blocks", F.explode(F.sequence("start", last)).alias("slot")
     )
     turn = F.floor(F.col("slot") / F.col("blocks"))
