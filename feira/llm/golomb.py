@@ -24,8 +24,9 @@ def encode(values: np.ndarray) -> bytes:
     unary = np.zeros(ends[-1], np.uint8)
     unary[ends - 1] = 1
     unary_bytes = np.packbits(unary).tobytes()
-    shifts = np.arange(k - 1, -1, -1, dtype=np.uint64)
-    remainders = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8)
+    # the lower k bits of each gap, written out from the highest on
+    bits = np.unpackbits(gaps.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    remainders = bits[:, 64 - k :]
     return (
         _HEAD.pack(len(values), k, len(unary_bytes))
         + unary_bytes
@@ -42,7 +43,8 @@ def decode(code: bytes) -> np.ndarray:
     quotients = np.diff(np.flatnonzero(unary)[:count], prepend=-1) - 1
     gaps = quotients.astype(np.uint64) << np.uint64(k)
     if k:
-        bits = np.unpackbits(np.frombuffer(code, np.uint8, -1, start + length), count=count * k)
-        weights = np.uint64(1) << np.arange(k - 1, -1, -1, dtype=np.uint64)
-        gaps += (bits.reshape(count, k) * weights).sum(axis=1, dtype=np.uint64)
+        packed = np.frombuffer(code, np.uint8, -1, start + length)
+        bits = np.zeros((count, 64), np.uint8)
+        bits[:, 64 - k :] = np.unpackbits(packed, count=count * k).reshape(count, k)
+        gaps += np.packbits(bits, axis=1).view(">u8").ravel().astype(np.uint64)
     return np.cumsum(gaps, dtype=np.uint64)

@@ -38,11 +38,12 @@ LENGTH = 50
 MODULUS = 31
 COVER = (1, 5, 11, 24, 25, 27)
 TUPLE = LENGTH - MODULUS + 1
-# Names of tuples only have to be rarely equal by chance; those of prefixes decide.
-TUPLE_BITS, PREFIX_BITS = 46, 62
+# Names of tuples only have to be rarely equal by chance: so many bits more than it takes to
+# number all tuples. Names of prefixes decide.
+SPARE_BITS, PREFIX_BITS = 12, 62
 # Bytes of text worked on at once, and names that an owner merges.
-PIECE = 1 << 23
-OWNER_NAMES = 1 << 22
+PIECE = 1 << 22
+OWNER_NAMES = 1 << 21
 # Answers up to this size are sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 
@@ -177,42 +178,57 @@ def _code_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["owner", "block", "code"])
 
 
-def _tuple_names(block: _Block) -> Iterator[tuple[Piece, np.ndarray, np.ndarray]]:
+def _tuples(block: _Block, bits: int) -> Iterator[tuple[Piece, np.ndarray, np.ndarray]]:
+    """Each piece with its sampled places and their names."""
     for _, piece in pieces(block.texts):
         places = piece.sampled()
-        yield piece, places, piece.names(places, TUPLE, TUPLE_BITS)
+        yield piece, places, piece.names(places, TUPLE, bits)
 
 
-def _send_tuples(owners: int):
+def _sorted_names(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different names in order, and which of them came more than once."""
+    names = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    starts = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+    return names[starts], np.diff(starts, append=len(names)) > 1
+
+
+def _member(names: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which names are among others, which are sorted. Most are ruled out by a bit table."""
+    table = np.zeros(1 << 22, bool)
+    low = np.uint64((1 << 22) - 1)
+    table[among & low] = True
+    found = table[names & low]
+    some = np.flatnonzero(found)
+    if len(some):
+        places = np.minimum(np.searchsorted(among, names[some]), len(among) - 1)
+        found[some] = among[places] == names[some]
+    return found
+
+
+def _send_tuples(owners: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            names = [found for _, _, found in _tuple_names(block)]
-            different = np.unique(np.concatenate(names)) if names else np.zeros(0, np.uint64)
-            yield _code_batch(_codes(block.number, different, owners, TUPLE_BITS))
+            names, _ = _sorted_names([found for _, _, found in _tuples(block, bits)])
+            yield _code_batch(_codes(block.number, names, owners, bits))
 
     return send
 
 
-def _send_prefixes(tuple_owners: int, owners: int):
+def _send_prefixes(tuple_owners: int, bits: int, owners: int):
     """Names of prefixes near repeated tuples; and, for owner -1, where these prefixes are."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            found = [(piece, places, names) for piece, places, names in _tuple_names(block)]
-            if not found:
-                continue
-            names, inverse, counts = np.unique(
-                np.concatenate([n for _, _, n in found]), return_inverse=True, return_counts=True
-            )
-            repeated = (_marks(block.answer, names, tuple_owners, TUPLE_BITS) | (counts > 1))[inverse]
-            cuts = np.cumsum([len(places) for _, places, _ in found])[:-1]
+            names, again = _sorted_names([found for _, _, found in _tuples(block, bits)])
+            repeated = names[_marks(block.answer, names, tuple_owners, bits) | again]
             ranges, prefixes = [], []
-            for (piece, places, _), marked in zip(found, np.split(repeated, cuts), strict=True):
-                ranges.append(piece.before(places[marked]))
+            for piece, places, found in _tuples(block, bits):
+                ranges.append(piece.before(places[_member(found, repeated)]))
                 prefixes.append(piece.names(piece.within(ranges[-1]), LENGTH, PREFIX_BITS))
             sizes = np.array([len(r) for r in ranges], np.int64)
             where = np.concatenate([[len(sizes)], sizes, *[r.ravel() for r in ranges]])
-            rows = _codes(block.number, np.unique(np.concatenate(prefixes)), owners, PREFIX_BITS)
+            names, _ = _sorted_names(prefixes)
+            rows = _codes(block.number, names, owners, PREFIX_BITS)
             yield _code_batch([*rows, (-1, block.number, where.astype("<i8").tobytes())])
 
     return send
@@ -247,13 +263,6 @@ def _earlier(key: tuple, codes: pd.DataFrame) -> pd.DataFrame:
     return _answers(key[0], codes["block"], np.split(again, cuts))
 
 
-def _member(names: np.ndarray, among: np.ndarray) -> np.ndarray:
-    if not len(among):
-        return np.zeros(len(names), bool)
-    places = np.minimum(np.searchsorted(among, names), len(among) - 1)
-    return among[places] == names
-
-
 def _answers(owner: int, blocks: pd.Series, marks: list[np.ndarray]) -> pd.DataFrame:
     bitmaps = [np.packbits(mark).tobytes() for mark in marks]
     return pd.DataFrame({"owner": owner, "block": blocks.to_numpy(), "bitmap": bitmaps})
@@ -280,13 +289,19 @@ def _block_runs(block: _Block, owners: int) -> list[list[tuple[int, int]]]:
     prefixes = [
         piece.names(p, LENGTH, PREFIX_BITS) for (_, piece), p in zip(parts, places, strict=True)
     ]
-    names, inverse = np.unique(np.concatenate(prefixes), return_inverse=True)
-    if not len(names):
+    found = np.concatenate(prefixes)
+    if not len(found):
         return runs
-    docs = np.array(block.docs, np.int64)[np.concatenate(texts)]
+    names, again = _sorted_names([found])
+    marks = _marks(block.answer, names, owners, PREFIX_BITS)
+    # within the block only names that come more than once can have a smaller doc_id
+    removed = _member(found, names[marks])
+    local = np.flatnonzero(_member(found, names[again & ~marks]))
+    docs = np.array(block.docs, np.int64)[np.concatenate(texts)[local]]
+    names, inverse = np.unique(found[local], return_inverse=True)
     smallest = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(smallest, inverse, docs)
-    removed = _marks(block.answer, names, owners, PREFIX_BITS)[inverse] | (docs > smallest[inverse])
+    removed[local] = docs > smallest[inverse]
     cuts = np.cumsum([len(p) for p in places])[:-1]
     for (first, piece), p, t, marked in zip(
         parts, places, texts, np.split(removed, cuts), strict=True
@@ -371,16 +386,20 @@ def removed_runs(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     )
     path = f"{folder}/blocks"
     # one row group per file: a file is read by one task, however its bytes are split
-    numbered.write.option("parquet.block.size", 1 << 30).parquet(path)
+    writer = numbered.write.option("parquet.block.size", 1 << 30).option("compression", "zstd")
+    writer.parquet(path)
     blocks = spark.read.schema(numbered.schema).parquet(path)
 
     total = light.agg(F.sum("n_bytes")).first()[0] or 0
-    tuple_owners = max(1, -(-total * len(COVER) // MODULUS // OWNER_NAMES))
+    samples = max(1, total * len(COVER) // MODULUS)
+    bits = min(PREFIX_BITS, samples.bit_length() + SPARE_BITS)
+    tuple_owners = max(1, -(-samples // OWNER_NAMES))
     owners = max(1, -(-total // 4 // OWNER_NAMES))
-    tuples = blocks.mapInArrow(_send_tuples(tuple_owners), _CODES)
+    tuples = blocks.mapInArrow(_send_tuples(tuple_owners, bits), _CODES)
     others = tuples.groupBy("owner").applyInPandas(_others, "owner int, block int, bitmap binary")
     others = stored(others, "others", folder)
-    prefixes = _with_answers(blocks, others).mapInArrow(_send_prefixes(tuple_owners, owners), _CODES)
+    send = _send_prefixes(tuple_owners, bits, owners)
+    prefixes = _with_answers(blocks, others).mapInArrow(send, _CODES)
     prefixes = stored(prefixes, "prefixes", folder)
     earlier = prefixes.where("owner >= 0").groupBy("owner").applyInPandas(
         _earlier, "owner int, block int, bitmap binary"
