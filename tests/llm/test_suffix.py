@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from feira.llm import suffix_dedup
+from feira.llm.common import read_documents
+from tests.llm.conftest import SF, same
+
+COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def brute(rows):
+    """(doc_id, text) rows; a null doc_id is the smallest."""
+    rank = {None: -(10**20)}
+    data = [(i, (text or "").encode()) for i, text in rows]
+    first = {}
+    for i, text in data:
+        for p in range(len(text) - 49):
+            window = text[p : p + 50]
+            first[window] = min(first.get(window, 10**20), rank.get(i, i))
+    out = []
+    for i, text in data:
+        mask = bytearray(len(text))
+        for p in range(len(text) - 49):
+            if first[text[p : p + 50]] < rank.get(i, i):
+                mask[p : p + 50] = b"\1" * 50
+        kept = bytes(b for b, m in zip(text, mask, strict=True) if not m)
+        spans = sum(m and not (j and mask[j - 1]) for j, m in enumerate(mask))
+        out.append((i, len(text), sum(mask), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_cover_brings_any_two_places_into_the_sample():
+    cover, modulus = set(suffix_dedup.COVER), suffix_dedup.MODULUS
+    for a in range(modulus):
+        for b in range(modulus):
+            assert any((a + d) % modulus in cover and (b + d) % modulus in cover for d in range(modulus))
+
+
+def test_rows_of_any_kind(documents, rows):
+    found = suffix_dedup.deduplicated_bytes(documents)
+    assert same(map(tuple, found.select(*COLUMNS).collect()), brute([row[:2] for row in rows]))
+    for row in found.where("n_removed > 0").collect():
+        assert sum(run.end - run.begin for run in row.runs) == row.n_removed
+
+
+def test_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in read_documents(spark, SF).collect()]
+    assert same(map(tuple, suffix_dedup.op2_suffix_dedup(spark, SF).collect()), brute(rows))
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 20])
+def test_many_blocks_pieces_and_owners(spark, monkeypatch, broadcast):
+    """Passages moved by any shift, in texts cut into small pieces and dealt to many owners."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    monkeypatch.setattr(suffix_dedup, "OWNER_NAMES", 100)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", broadcast)
+    rng = random.Random(11)
+    shared = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (49, 50, 51, 80, 200)]
+    rows = []
+    for i in range(120):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 300)))
+        for passage in rng.sample(shared, rng.randint(0, 2)):
+            place = rng.randint(0, len(text))
+            text = text[:place] + passage + text[place:]
+        rows.append((i, text))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.deduplicated_bytes(frame).select(*COLUMNS).collect()
+    assert same(map(tuple, found), brute(rows))
+
+
+def test_runs_that_touch_are_one():
+    places, text = np.array([0, 10, 60, 111, 300]), np.array([0, 0, 0, 0, 1])
+    assert suffix_dedup.covered(places, text).tolist() == [[0, 0, 110], [0, 111, 161], [1, 300, 350]]
+
+
+def test_empty(empty):
+    assert suffix_dedup.deduplicated_bytes(empty).collect() == []
