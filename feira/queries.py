@@ -25,7 +25,6 @@ from feira.operators import assign_nearest, keep_first, orphans, row_audit
 from feira.plans import gold, segments, silver
 from feira.sources import calendar
 from feira.sources.market import Market
-from feira.sources.working import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,7 +117,7 @@ class _Tables:
             gold.dim_date(self.spark, FIRST_DAY, LAST_DAY),
             self.dim_customers(),
         )
-        return segments.rfm_features(store(totals, "rfm_totals"))
+        return segments.rfm_features(totals)
 
 
 def filter_chronology(t: _Tables) -> DataFrame:
@@ -280,7 +279,7 @@ _BUILDERS: dict[str, Callable[[_Tables], DataFrame]] = {
     "rfm_features": _Tables.rfm,
     "rfm_scaled": rfm_scaled,
     "rfm_assign_fixed": rfm_assign_fixed,
-    "rfm_segments": lambda t: segments.segment(t.rfm()),
+    "rfm_segments": lambda t: segments.checked_segments(t.rfm()),
     "audit_counts": audit_counts,
     "orphan_audit": orphan_audit,
 }

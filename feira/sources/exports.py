@@ -1,9 +1,11 @@
 """CSV exports, one file or a whole folder, into typed Parquet."""
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feira import schemas
 from feira.sources.sinks import write_parquet
@@ -23,9 +25,14 @@ ROUTES = [
 ]
 UNROUTED = "misc"
 
-# Only free text holds line breaks inside quotes. Reading across lines makes a file
-# one unsplittable task, so the other entities are read line by line in parallel.
+# Free text holds line breaks inside quotes. Reading across lines makes a file one
+# unsplittable task, so the other entities are read line by line in parallel unless the
+# caller asks for more; a record that goes on in the next line is then malformed.
 WITH_FREE_TEXT = {"order_reviews"}
+REJECTS = "_rejects"
+_MALFORMED = "_malformed_record"
+# What fields without anything are read as first; no text is like it.
+_NO_TEXT = "\0null\0"
 
 
 def entity_of(file_name: str) -> str:
@@ -35,32 +42,91 @@ def entity_of(file_name: str) -> str:
     return UNROUTED
 
 
-def read_export(spark: SparkSession, paths: str | Sequence[str], entity: str) -> DataFrame:
-    """One entity's CSV files as a typed DataFrame.
+def read_csv(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    multi_line: bool,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """CSV files of one header as text columns, and the record where it is malformed.
+
+    An empty field is null, and so is a pair of quotes unless ``keep_empty`` tells the
+    empty text from null, as ``sinks.export_csv`` writes them.
+    """
+    files = [paths] if isinstance(paths, str) else list(paths)
+    options = {
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+        "enforceSchema": False,
+        # a record whose fields are not all parsed is not seen to be malformed
+        "columnPruning": False,
+    }
+    if keep_empty:
+        options["nullValue"] = _NO_TEXT
+    names = spark.read.options(**options).csv(files).columns
+    schema = StructType([StructField(name, StringType()) for name in [*names, _MALFORMED]])
+    reader = spark.read.options(columnNameOfCorruptRecord=_MALFORMED, **options)
+    return reader.schema(schema).csv(files)
+
+
+def _well_formed(text: DataFrame) -> Column:
+    """Also looks at a field: Spark refuses to read the malformed records' column alone."""
+    return F.col(_MALFORMED).isNull() & (F.coalesce(F.col(text.columns[0]), F.lit("")) != _NO_TEXT)
+
+
+def _crosses_lines(entity: str, multi_line: bool | None) -> bool:
+    return entity in WITH_FREE_TEXT if multi_line is None else multi_line
+
+
+def read_export(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    entity: str,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    """One entity's CSV files as a typed DataFrame, without malformed records.
 
     Columns are found by header name, and the files of one call must share a header
     (Spark raises otherwise). Nothing is inferred, so the data is read once. A value
     its type cannot hold becomes null; columns the schema does not know stay text.
+    ``multi_line`` says whether records may cross lines; free text does by default.
     """
     ddl = schemas.BRONZE.get(entity) or schemas.LOOKUPS[entity]
-    text = spark.read.csv(
-        [paths] if isinstance(paths, str) else list(paths),
-        header=True,
-        quote='"',
-        escape='"',
-        multiLine=entity in WITH_FREE_TEXT,
-        enforceSchema=False,
-    )
+    text = read_csv(spark, paths, _crosses_lines(entity, multi_line))
     types = {field.name: field.dataType for field in schemas.struct(ddl)}
     missing = [name for name in types if name not in text.columns]
     if missing:
         raise ValueError(f"{entity}: the export has no column {', '.join(missing)}")
-    extra = [name for name in text.columns if name not in types]
-    return text.select(
+    extra = [name for name in text.columns if name not in types and name != _MALFORMED]
+    return text.where(_well_formed(text)).select(
         *[F.col(name).try_cast(dtype).alias(name) for name, dtype in types.items()], *extra
     )
 
 
+def rejects(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    entity: str,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    """Records (text) that ``read_export`` cannot read as they were meant.
+
+    Those with too few or too many fields; and, reading line by line, those with a quote
+    that is not closed in its line, even if their number of fields is right.
+    """
+    crosses = _crosses_lines(entity, multi_line)
+    parsed = read_csv(spark, paths, crosses)
+    found = parsed.where(~_well_formed(parsed)).select(F.col(_MALFORMED).alias("record"))
+    if crosses:
+        return found
+    files = [paths] if isinstance(paths, str) else list(paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    open_ended = spark.read.text(files).where(quotes % 2 == 1)
+    return found.union(open_ended.select(F.col("value").alias("record"))).distinct()
+
+
 def read_unknown_export(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file with no known schema: names from its header, types inferred."""
     return spark.read.csv(
@@ -81,18 +147,55 @@ def _name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def ingest_export(spark: SparkSession, path: str, entity: str, bronze_root: str) -> str:
-    """One CSV file to its entity's Parquet folder; returns the folder."""
-    target = f"{bronze_root}/{entity}"
-    write_parquet(read_export(spark, path, entity), target)
+def _ingest(
+    spark: SparkSession,
+    paths: list[str],
+    entity: str,
+    bronze_root: str,
+    multi_line: bool | None,
+    allow_rejects: bool,
+) -> str:
+    target, rejected = f"{bronze_root}/{entity}", f"{bronze_root}/{REJECTS}/{entity}"
+    bad = rejects(spark, paths, entity, multi_line)
+    if not bad.isEmpty():
+        write_parquet(bad, rejected)
+        count = spark.read.parquet(rejected).count()
+        message = f"{entity}: {count} malformed records, see {rejected}"
+        if not allow_rejects:
+            raise ValueError(message)
+        warnings.warn(message, stacklevel=3)
+    write_parquet(read_export(spark, paths, entity, multi_line), target)
     return target
 
 
-def ingest_folder(spark: SparkSession, folder: str, bronze_root: str) -> dict[str, str]:
+def ingest_export(
+    spark: SparkSession,
+    path: str,
+    entity: str,
+    bronze_root: str,
+    multi_line: bool | None = None,
+    allow_rejects: bool = False,
+) -> str:
+    """One CSV file to its entity's Parquet folder; returns the folder.
+
+    Malformed records go to a folder of rejects, and the call raises with their number,
+    or, if they are allowed, warns and writes the others.
+    """
+    return _ingest(spark, [path], entity, bronze_root, multi_line, allow_rejects)
+
+
+def ingest_folder(
+    spark: SparkSession,
+    folder: str,
+    bronze_root: str,
+    multi_line: Mapping[str, bool] | None = None,
+    allow_rejects: bool = False,
+) -> dict[str, str]:
     """Every CSV file of a folder to Parquet; returns ``{entity or file: folder}``.
 
     All files of an entity are written together, so that none replaces another.
     Files that match no entity have no common schema and get a folder each.
+    ``multi_line`` says by entity whether records may cross lines.
     """
     by_entity: dict[str, list[str]] = {}
     for path in list_exports(spark, folder):
@@ -104,7 +207,6 @@ def ingest_folder(spark: SparkSession, folder: str, bronze_root: str) -> dict[st
         write_parquet(read_unknown_export(spark, path), target)
         written[name] = target
     for entity, paths in by_entity.items():
-        target = f"{bronze_root}/{entity}"
-        write_parquet(read_export(spark, paths, entity), target)
-        written[entity] = target
+        crosses = (multi_line or {}).get(entity)
+        written[entity] = _ingest(spark, paths, entity, bronze_root, crosses, allow_rejects)
     return written

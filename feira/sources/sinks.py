@@ -11,31 +11,66 @@ SESSION_CATALOG = "spark_catalog"
 ICEBERG_PROPERTIES = {"format-version": "2"}
 
 
+def _roots(df: DataFrame) -> list[str]:
+    """The folders and files that the plan's scans were opened with, not their contents."""
+    roots, pending = [], [df._jdf.queryExecution().analyzed()]
+    while pending:
+        node = pending.pop()
+        if node.nodeName() == "LogicalRelation":
+            relation = node.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots += [paths.apply(i).toString() for i in range(paths.size())]
+        children = node.children()
+        pending += [children.apply(i) for i in range(children.size())]
+        inner = node.innerChildren() if node.nodeName() == "InMemoryRelation" else None
+        pending += [inner.apply(i) for i in range(inner.size())] if inner else []
+    return roots
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    """Whether a file of ``df`` lies in the folder ``path``. Lists file names, reads none.
+    """Whether ``df`` scans the folder ``path``, something in it or a folder around it.
 
-    A path without a scheme is compared without one, so it may match too much.
+    Looks at the paths in the plan only. A path without a scheme is compared without
+    one, so it may match too much.
     """
     target = urlparse(path)
     folder = f"/{target.path.strip('/')}/"
-    for name in df.inputFiles():
+    for name in _roots(df):
         source = urlparse(name)
         same_store = not target.scheme or (source.scheme, source.netloc) == target[:2]
-        if same_store and unquote(source.path).startswith(folder):
+        root = f"/{unquote(source.path).strip('/')}/"
+        if same_store and (root.startswith(folder) or folder.startswith(root)):
             return True
     return False
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace a folder. Overwriting deletes first, so reading the same folder is refused."""
+def _refuse_own_input(df: DataFrame, path: str) -> None:
     if _reads_from(df, path):
         raise ValueError(f"{path} is also being read from")
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Replace a folder. Overwriting deletes first, so reading the same folder is refused."""
+    _refuse_own_input(df, path)
     df.write.mode("overwrite").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV part files with headers, written by the tasks that hold the rows."""
-    df.write.mode("overwrite").csv(path, header=True)
+    """A folder of CSV part files with headers, written by the tasks that hold the rows.
+
+    Quotes are doubled, outer spaces kept, null is nothing and the empty text a pair of
+    quotes, so that ``exports.read_csv`` can give the same values back.
+    """
+    _refuse_own_input(df, path)
+    df.write.mode("overwrite").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def can_replace(spark: SparkSession, table: str) -> bool:

@@ -1,57 +1,67 @@
 """Working storage for results that several later jobs read."""
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
-from functools import cache
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
-    Only a local session, where driver and executors are one process, may fall back
-    to a temporary folder of this machine.
+    Where it is unset, a local session, which has no other machines, gets one in its
+    warehouse; on a cluster it has to be set.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
+    if spark.conf.get("spark.master", "").startswith("local["):
+        return f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_working"
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="feira-")
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Uses the driver's Hadoop file systems, so it needs a classic session, not Connect."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    with suppress(Exception):  # the JVM may be gone already
+        delete_folder(spark, folder)
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}"
+    """A folder of its own inside the shared one, deleted when this Python ends.
+
+    For results that are read lazily after the call that stored them.
+    """
+    folder = f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}"
+    atexit.register(_delete_at_exit, spark, folder)
+    return folder
 
 
 @contextmanager
 def working_folder(spark: SparkSession) -> Iterator[str]:
     """A folder of its own inside the shared one, deleted when the block ends."""
-    folder = new_folder(spark)
+    folder = f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}"
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
 
 
-def store(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
-    """Write once as Parquet, in a new folder inside the shared one, and read back.
+def store(df: DataFrame, label: str, folder: str) -> DataFrame:
+    """Write once as Parquet, in ``folder``, and read back.
 
     Cuts the lineage: later jobs do not recompute the input when an executor is lost,
-    and each reads only the columns it needs. Without a ``folder`` from
-    ``working_folder`` the files stay, since only the caller knows when they are done.
+    and each reads only the columns it needs.
     """
-    path = f"{folder or new_folder(df.sparkSession)}/{label}"
+    path = f"{folder}/{label}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import types as T
 
-import __spark_entry__ as registered
+from feira import oracle, queries
 
 FOLDER = "/root/testdata/sf0.01"
 TABLES = (
@@ -19,8 +19,6 @@ TYPES = {
     T.BooleanType(): "BOOLEAN",
     T.TimestampNTZType(): "TIMESTAMP",
 }
-# k-means has no SQL; its invariants are in test_segments.py
-WITHOUT_SQL = {"rfm_segments"}
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +29,10 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_same_rows(spark, duck, name):
-    df = registered.queries()[name](spark, FOLDER)
-    result = duck.execute(registered.oracle_sql()[name])
+    df = queries.queries()[name](spark, FOLDER)
+    result = duck.execute(oracle.oracle_sql()[name])
     columns = [column[0] for column in result.description]
     kinds = {column[0]: str(column[1]) for column in result.description}
     assert {f.name: TYPES[f.dataType] for f in df.schema} == kinds
@@ -44,11 +42,4 @@ def test_same_rows(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) - set(registered.oracle_sql()) == WITHOUT_SQL
-    assert set(registered.oracle_sql()) <= set(registered.queries())
-
-
-def test_entry(spark):
-    df = registered.entry(spark)
-    assert df.columns[-3:] == ["Recency", "Frequency", "Monetary"]
-    assert df.count() > 0
+    assert set(queries.queries()) == set(oracle.oracle_sql())

@@ -1,5 +1,8 @@
+import subprocess
+import sys
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import executed_plan, rows
@@ -104,6 +107,58 @@ def test_segment_does_not_depend_on_input_layout(spark):
         assert rows(segments.segment(df.repartition(partitions))) == expected
 
 
+LABELS = """
+import sys, hashlib
+from pyspark.sql import SparkSession, functions as F
+from feira.plans import segments
+master, split, path, work = sys.argv[1:]
+spark = (
+    SparkSession.builder.master(master)
+    .config("spark.sql.files.maxPartitionBytes", split)
+    .config("spark.sql.shuffle.partitions", "3" if master == "local[2]" else "5")
+    .config("spark.ui.enabled", "false")
+    .getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+found = segments.segment(spark.read.parquet(path), folder=work).orderBy("customer_unique_id")
+rows = [(row.customer_unique_id, row.Cluster) for row in found.collect()]
+print("LABELS", len(rows), hashlib.sha256(repr(rows).encode()).hexdigest())
+"""
+
+
+def test_labels_do_not_depend_on_cores_or_splits(spark, tmp_path):
+    """People without clear groups, in a process of its own for each number of cores."""
+    spread = spark.range(4000).select(
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("customer_unique_id"),
+        F.lit("rio").alias("customer_city"),
+        F.lit("RJ").alias("customer_state"),
+        (F.rand(1) * 900).cast("int").alias("Recency"),
+        (F.rand(2) * 50).cast("long").alias("Frequency"),
+        (F.rand(3) * 1000).cast("decimal(38,2)").alias("Monetary"),
+    )
+    path = str(tmp_path / "features")
+    spread.write.parquet(path)
+    found = set()
+    for i, (master, split) in enumerate(
+        [("local[1]", "128m"), ("local[2]", "128m"), ("local[4]", "128m"), ("local[2]", "8k")]
+    ):
+        arguments = [master, split, path, str(tmp_path / f"work{i}")]
+        run = subprocess.run(
+            [sys.executable, "-c", LABELS, *arguments],
+            cwd=Path(__file__).parent.parent,
+            capture_output=True,
+            text=True,
+            timeout=300,
+        )
+        found.add(next(line for line in run.stdout.splitlines() if line.startswith("LABELS 4000")))
+    assert len(found) == 1
+
+
+def test_checks_of_a_fit(spark):
+    checked = segments.checked_segments(people(spark))
+    assert checked.where("in_range and is_nearest and centres_in_order").count() == 400
+
+
 def test_segment_of_fewer_rows_than_clusters(spark):
     clustered = segments.segment(people(spark, 2))
     assert clustered.count() == 2

@@ -1,6 +1,6 @@
 from decimal import Decimal
 from pathlib import Path
-from unittest.mock import MagicMock
+from unittest.mock import MagicMock, patch
 
 import pytest
 from conftest import rows
@@ -154,6 +154,78 @@ def test_export_csv(spark, tmp_path):
     assert len(spark.read.csv(path, header=True).inputFiles()) == 3
 
 
+HARD = [
+    ("  a ", 'say "x", y'),
+    ("line\nbreak", "cr\r\nlf"),
+    ("", None),
+    (None, ""),
+    ('"', ",;\t"),
+    ("\\", '\\"'),
+    ("#c", "ünï"),
+]
+
+
+def test_csv_round_trip_of_hard_text(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = spark.createDataFrame(HARD, "a string, b string")
+    sinks.export_csv(frame.repartition(2), path)
+    back = exports.read_csv(spark, path, multi_line=True, keep_empty=True)
+    assert rows(back.select("a", "b")) == sorted(HARD, key=repr)
+
+
+def test_exporting_over_what_is_read_is_refused(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.export_csv(spark.range(3), path)
+    with pytest.raises(ValueError, match="also being read"):
+        sinks.export_csv(spark.read.csv(path, header=True), path)
+
+
+def test_guard_lists_no_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_parquet(spark.range(3), path)
+    frame = spark.read.parquet(path)
+    with patch.object(type(frame), "inputFiles", side_effect=AssertionError("listed")):
+        sinks.write_parquet(frame.join(frame, "id"), path + "2")
+        with pytest.raises(ValueError, match="also being read"):
+            sinks.write_parquet(frame.union(spark.range(1)), path)
+
+
+BROKEN = SELLERS + '"s1",1,"rio\nsul","RJ"\ns2,2,natal,RN\n'
+
+
+def test_malformed_records_are_refused(spark, tmp_path):
+    path, bronze = put(tmp_path / "in", "sellers.csv", BROKEN), str(tmp_path / "bronze")
+    with pytest.raises(ValueError, match="2 malformed records"):
+        exports.ingest_export(spark, path, "sellers", bronze)
+    assert not (tmp_path / "bronze" / "sellers").exists()
+    kept = spark.read.parquet(f"{bronze}/{exports.REJECTS}/sellers")
+    assert rows(kept) == [('"s1",1,"rio',), ('sul","RJ"',)]
+
+
+def test_malformed_records_can_be_left_out(spark, tmp_path):
+    path, bronze = put(tmp_path / "in", "sellers.csv", BROKEN), str(tmp_path / "bronze")
+    with pytest.warns(UserWarning, match="2 malformed records"):
+        target = exports.ingest_export(spark, path, "sellers", bronze, allow_rejects=True)
+    assert rows(spark.read.parquet(target)) == [("s2", 2, "natal", "RN")]
+    read = exports.read_export(spark, path, "sellers")
+    assert read.count() == 1 and rows(read.select("seller_city")) == [("natal",)]
+
+
+def test_records_across_lines_when_asked_for(spark, tmp_path):
+    path, bronze = put(tmp_path / "in", "sellers.csv", BROKEN), str(tmp_path / "bronze")
+    target = exports.ingest_export(spark, path, "sellers", bronze, multi_line=True)
+    assert rows(spark.read.parquet(target)) == [
+        ("s1", 1, "rio\nsul", "RJ"),
+        ("s2", 2, "natal", "RN"),
+    ]
+
+
+def test_an_open_quote_in_the_last_field_is_malformed(spark, tmp_path):
+    path = put(tmp_path, "sellers.csv", SELLERS + 's1,1,rio,"R\nJ"\n')
+    found = rows(exports.rejects(spark, path, "sellers"))
+    assert ('s1,1,rio,"R',) in found and ('J"',) in found
+
+
 def test_create_tables(spark):
     layers = {f"empty_{layer}": tables for layer, tables in schemas.LAYERS.items()}
     names = sinks.create_tables(spark, layers=layers)
@@ -193,7 +265,8 @@ def test_plug_in_catalogs_are_replaced_atomically(spark, conf):
 
 def test_store_uses_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
-    stored = working.store(spark.range(5).selectExpr("id", "id % 2 AS odd"), "numbers")
+    numbers = spark.range(5).selectExpr("id", "id % 2 AS odd")
+    stored = working.store(numbers, "numbers", working.new_folder(spark))
     assert all(folder in path for path in stored.inputFiles())
     assert stored.count() == 5
     assert "LogicalRDD" not in stored._jdf.queryExecution().analyzed().toString()
