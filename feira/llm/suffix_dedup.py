@@ -44,6 +44,8 @@ SPARE_BITS, PREFIX_BITS = 12, 62
 # Bytes of text worked on at once, and names that an owner merges.
 PIECE = 1 << 22
 OWNER_NAMES = 1 << 21
+# Bytes of text of a block, on average. Blocks times owners is the number of messages.
+BLOCK_BYTES = 12 << 20
 # Answers up to this size are sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 
@@ -277,38 +279,49 @@ def covered(places: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.column_stack([text[starts], places[starts], places[stops] + LENGTH])
 
 
+def _prefixes(
+    block: _Block, ranges: list[np.ndarray]
+) -> Iterator[tuple[int, Piece, np.ndarray, np.ndarray]]:
+    """Each piece with the number of its first text, its places and their names."""
+    for (first, piece), own in zip(pieces(block.texts), ranges, strict=True):
+        places = piece.within(own)
+        yield first, piece, places, piece.names(places, LENGTH, PREFIX_BITS)
+
+
+def _smallest(block: _Block, ranges: list[np.ndarray], names: np.ndarray) -> np.ndarray:
+    """The smallest doc_id of the block that has each of some names, which are sorted."""
+    smallest = np.full(len(names), np.iinfo(np.int64).max)
+    docs = np.array(block.docs, np.int64)
+    for first, piece, places, found in _prefixes(block, ranges):
+        some = np.flatnonzero(_member(found, names))
+        owners = docs[piece.text_at(places[some]) + first]
+        np.minimum.at(smallest, np.searchsorted(names, found[some]), owners)
+    return smallest
+
+
 def _block_runs(block: _Block, owners: int) -> list[list[tuple[int, int]]]:
     """Removed runs of each text of a block, from its ranges and the owners' answer."""
     runs: list[list[tuple[int, int]]] = [[] for _ in block.texts]
-    parts = list(pieces(block.texts))
     ranges = _ranges(block.ranges) if block.ranges is not None else []
-    if not ranges:
+    if not sum(map(len, ranges)):
         return runs
-    places = [Piece.within(r) for r in ranges]
-    texts = [piece.text_at(p) + first for (first, piece), p in zip(parts, places, strict=True)]
-    prefixes = [
-        piece.names(p, LENGTH, PREFIX_BITS) for (_, piece), p in zip(parts, places, strict=True)
-    ]
-    found = np.concatenate(prefixes)
-    if not len(found):
-        return runs
-    names, again = _sorted_names([found])
+    names, again = _sorted_names([found for *_, found in _prefixes(block, ranges)])
     marks = _marks(block.answer, names, owners, PREFIX_BITS)
-    # within the block only names that come more than once can have a smaller doc_id
-    removed = _member(found, names[marks])
-    local = np.flatnonzero(_member(found, names[again & ~marks]))
-    docs = np.array(block.docs, np.int64)[np.concatenate(texts)[local]]
-    names, inverse = np.unique(found[local], return_inverse=True)
-    smallest = np.full(len(names), np.iinfo(np.int64).max)
-    np.minimum.at(smallest, inverse, docs)
-    removed[local] = docs > smallest[inverse]
-    cuts = np.cumsum([len(p) for p in places])[:-1]
-    for (first, piece), p, t, marked in zip(
-        parts, places, texts, np.split(removed, cuts), strict=True
-    ):
-        for text, begin, end in covered(p[marked], t[marked]).tolist():
-            start = int(piece.begins[text - first])
-            runs[text].append((begin - start, end - start))
+    # only names that come more than once can be in a smaller doc_id of the block itself
+    elsewhere, within = names[marks], names[again & ~marks]
+    del names, marks, again
+    smallest = _smallest(block, ranges, within) if len(within) else None
+    docs = np.array(block.docs, np.int64)
+    for first, piece, places, found in _prefixes(block, ranges):
+        removed = _member(found, elsewhere)
+        if smallest is not None:
+            some = np.flatnonzero(_member(found, within))
+            own = docs[piece.text_at(places[some]) + first]
+            removed[some] = own > smallest[np.searchsorted(within, found[some])]
+        places = places[removed]
+        for text, begin, end in covered(places, piece.text_at(places)).tolist():
+            start = int(piece.begins[text])
+            runs[text + first].append((begin - start, end - start))
     return runs
 
 
@@ -376,7 +389,9 @@ def removed_runs(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
         small(firsts), (keyed["digest"] == firsts["digest"]) & (keyed["doc"] == firsts["first"]), "left_semi"
     )
     # all rows of a doc_id are in one block, and blocks are in the order of doc_id
-    ordered = unique.repartitionByRange("doc").sortWithinPartitions("doc", "digest")
+    total = light.agg(F.sum("n_bytes")).first()[0] or 0
+    count = max(1, -(-total // BLOCK_BYTES))
+    ordered = unique.repartitionByRange(count, "doc").sortWithinPartitions("doc", "digest")
     numbered = ordered.select(
         F.spark_partition_id().alias("block"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
@@ -390,7 +405,6 @@ def removed_runs(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     writer.parquet(path)
     blocks = spark.read.schema(numbered.schema).parquet(path)
 
-    total = light.agg(F.sum("n_bytes")).first()[0] or 0
     samples = max(1, total * len(COVER) // MODULUS)
     bits = min(PREFIX_BITS, samples.bit_length() + SPARE_BITS)
     tuple_owners = max(1, -(-samples // OWNER_NAMES))

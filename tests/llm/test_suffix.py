@@ -55,6 +55,7 @@ def test_whole_table(spark):
 def test_many_blocks_pieces_and_owners(spark, monkeypatch, broadcast):
     """Passages moved by any shift, in texts cut into small pieces and dealt to many owners."""
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 5_000)
     monkeypatch.setattr(suffix_dedup, "OWNER_NAMES", 100)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", broadcast)
     rng = random.Random(11)
