@@ -45,9 +45,29 @@ _CHRONOLOGY = """
     AND (order_delivered_carrier_date <= order_delivered_customer_date
          OR order_delivered_customer_date IS NULL)"""
 
+def _with_copies(table: str, key: str, *copies: tuple[int, int, str]) -> str:
+    """All rows and, of those whose key has a remainder, copies with some columns replaced."""
+    return f"SELECT * FROM {table} " + " ".join(
+        f"UNION ALL SELECT * {f'REPLACE ({changes})' if changes else ''} FROM {table} "
+        f"WHERE CAST({key} AS BIGINT) % {divisor} = {rest}"
+        for divisor, rest, changes in copies
+    )
+
+
+def _zip_copies(role: str, table: str) -> str:
+    key, prefix = f"{role}_id", f"{role}_zip_code_prefix"
+    return _with_copies(
+        table,
+        key,
+        (11, 3, f"CAST(-1 AS INTEGER) AS {prefix}, '12' AS {role}_city"),
+        (13, 4, f"CAST({prefix} + 1000 AS INTEGER) AS {prefix}"),
+        (17, 5, f"CAST(NULL AS VARCHAR) AS {key}"),
+    )
+
+
 # Named parts, each using only those above it.
 _PARTS = {
-    "raw_customers": """
+    "base_customers": """
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
                CAST(c_custkey // 2 AS VARCHAR) AS customer_unique_id,
                c_nationkey AS customer_zip_code_prefix,
@@ -55,7 +75,7 @@ _PARTS = {
                     ELSE 'São ' || c_mktsegment || ' ' || n_name END AS customer_city,
                n_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "raw_orders": """
+    "base_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
                CAST(o_custkey AS VARCHAR) AS customer_id,
                o_orderstatus AS order_status,
@@ -69,14 +89,14 @@ _PARTS = {
         FROM orders LEFT JOIN (
             SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
             FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
-    "raw_items": """
+    "base_items": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
                CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
                CAST(l_shipdate AS TIMESTAMP) AS shipping_limit_date,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
                CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 - 1 AS DECIMAL(18,2)) AS freight_value
         FROM lineitem""",
-    "raw_payments": """
+    "base_payments": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS payment_sequential,
                CASE l_returnflag WHEN 'R' THEN 'voucher' WHEN 'A' THEN 'credit_card' END
                    AS payment_type,
@@ -84,7 +104,7 @@ _PARTS = {
                CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                    AS payment_value
         FROM lineitem""",
-    "raw_products": """
+    "base_products": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id,
                CAST(trunc(length(p_name) + 0.5) AS INTEGER) AS product_name_length,
                CAST(p_size * 10 AS INTEGER) AS product_description_length,
@@ -99,11 +119,11 @@ _PARTS = {
     "translation": """
         SELECT DISTINCT p_type AS category, 'english ' || lower(p_type) AS english
         FROM part WHERE p_type <> 'STANDARD'""",
-    "raw_sellers": """
+    "base_sellers": """
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, s_nationkey AS seller_zip_code_prefix,
                'Córdoba ' || s_suppkey AS seller_city, 'R' || n_regionkey AS seller_state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "raw_reviews": """
+    "base_reviews": """
         SELECT CAST(event_id AS VARCHAR) AS review_id,
                CAST(event_id // 2 AS VARCHAR) AS order_id,
                CAST(event_id % 7 AS INTEGER) AS review_score,
@@ -120,6 +140,30 @@ _PARTS = {
                CASE WHEN label = 9 THEN '99' ELSE 'São Cidade ' || (vec_id % 5) END AS city,
                'S' || (vec_id % 3) AS state
         FROM embeddings""",
+    "raw_customers": _zip_copies("customer", "base_customers"),
+    "raw_sellers": _zip_copies("seller", "base_sellers"),
+    "raw_orders": _with_copies(
+        "base_orders",
+        "order_id",
+        (
+            11,
+            3,
+            "'0' AS customer_id, "
+            "order_purchase_timestamp - INTERVAL 1 DAY AS order_approved_at",
+        ),
+        (13, 4, "customer_id || '9' AS customer_id"),
+        (17, 5, "CAST(NULL AS VARCHAR) AS order_id"),
+    ),
+    "raw_items": _with_copies("base_items", "order_id", (7, 2, "")),
+    "raw_payments": _with_copies("base_payments", "order_id", (7, 3, "")),
+    "raw_reviews": _with_copies("base_reviews", "review_id", (7, 1, "")),
+    "raw_products": _with_copies(
+        "base_products",
+        "product_id",
+        (11, 3, "'A' AS category, CAST(-1 AS DOUBLE) AS product_weight_g"),
+        (13, 4, "'zzz' AS category"),
+        (17, 5, "CAST(NULL AS VARCHAR) AS product_id"),
+    ),
     "s_customers": f"""
         SELECT * FROM (SELECT * REPLACE ({_clean("customer_city")} AS customer_city) FROM ({
             _first_per_key(

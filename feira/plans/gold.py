@@ -28,6 +28,8 @@ from feira.operators import distinct_rows, keep_first
 from feira.sources import calendar
 
 SUNDAY, SATURDAY = 1, 7
+CUSTOMER_POSITION = ["customer_lat", "customer_lng"]
+SELLER_POSITION = ["seller_lat", "seller_lng"]
 
 
 # --- dimensions -------------------------------------------------------------------
@@ -114,8 +116,20 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
-def _known(dimension: DataFrame, natural_key: str, flag: str) -> DataFrame:
-    return dimension.select(natural_key, F.lit(True).alias(flag))
+def _known(
+    dimension: DataFrame, natural_key: str, role: str, geolocation: DataFrame | None = None
+) -> DataFrame:
+    """The dimension's keys with a flag and, if places are given, where each one is."""
+    flag = F.lit(True).alias(f"{role}_known")
+    if geolocation is None:
+        return dimension.select(natural_key, flag)
+    prefix = f"{role}_zip_code_prefix"
+    places = geolocation.select(
+        F.col("geolocation_zip_code_prefix").alias(prefix),
+        F.col("geo_lat").alias(f"{role}_lat"),
+        F.col("geo_lng").alias(f"{role}_lng"),
+    )
+    return dimension.select(natural_key, prefix, flag).join(places, prefix, "left").drop(prefix)
 
 
 def order_header(
@@ -123,8 +137,10 @@ def order_header(
     customers: DataFrame,
     dim_customers: DataFrame,
     order_payments: DataFrame | None = None,
+    geolocation: DataFrame | None = None,
 ) -> DataFrame:
-    """Per order: its times, the person who ordered and, if given, what was paid.
+    """Per order: its times, the person who ordered and, if given, what was paid and the
+    person's position.
 
     Both hops of the customer lookup (account, then person) happen here. Payments are
     joined first and the customer last, so that the result leaves a join on customers
@@ -139,18 +155,25 @@ def order_header(
     )
     if order_payments is not None:
         header = header.join(payments_per_order(order_payments), "order_id", "left")
+    persons = _known(dim_customers, "customer_unique_id", "customer", geolocation)
     accounts = customers.select("customer_id", "customer_unique_id").join(
-        _known(dim_customers, "customer_unique_id", "customer_known"), "customer_unique_id", "left"
+        persons, "customer_unique_id", "left"
     )
     person = F.when(F.col("customer_known"), F.col("customer_unique_id")).alias("person")
-    known = accounts.select("customer_id", person)
+    position = [name for name in CUSTOMER_POSITION if name in persons.columns]
+    known = accounts.select("customer_id", person, *position)
     return header.join(known, "customer_id", "left").drop("customer_id")
 
 
 def order_lines(
-    order_items: DataFrame, header: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame
+    order_items: DataFrame,
+    header: DataFrame,
+    dim_products: DataFrame,
+    dim_sellers: DataFrame,
+    geolocation: DataFrame | None = None,
 ) -> DataFrame:
-    """Items of known orders with the header, and whether product and seller are known.
+    """Items of known orders with the header, and whether product and seller are known;
+    with places given, also the seller's position.
 
     All three facts start from this; a run that builds them all stores it once
     (``feira.plans.layers``).
@@ -158,8 +181,8 @@ def order_lines(
     return (
         order_items.drop("shipping_limit_date")
         .join(header, "order_id")
-        .join(_known(dim_products, "product_id", "product_known"), "product_id", "left")
-        .join(_known(dim_sellers, "seller_id", "seller_known"), "seller_id", "left")
+        .join(_known(dim_products, "product_id", "product"), "product_id", "left")
+        .join(_known(dim_sellers, "seller_id", "seller", geolocation), "seller_id", "left")
     )
 
 
@@ -209,11 +232,20 @@ def fact_shipping(lines: DataFrame, by_day: bool = False) -> DataFrame:
     ``by_day`` orders the rows by day across and within files, so that readers can skip
     files by date. The shipment is part of that order, which spreads a busy day over
     several tasks.
+
+    Lines that carry the positions of customer and seller also give the distance between
+    them in km, null where one is not known. It is made beside the shipment, so nothing
+    is shuffled for it.
     """
     purchased = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
     measures = ["date_key", "delivery_lead_time", "estimated_delivery_error", "is_late"]
+    distance = []
+    if {*CUSTOMER_POSITION, *SELLER_POSITION} <= set(lines.columns):
+        measures.insert(3, "shipping_distance_km")
+        km = haversine_km(*CUSTOMER_POSITION, *SELLER_POSITION)
+        distance.append(km.alias("shipping_distance_km"))
     shipped = (
         lines.select(
             key_text("order_id", "order_item_id", "seller_id").alias("shipment"),
@@ -221,6 +253,7 @@ def fact_shipping(lines: DataFrame, by_day: bool = False) -> DataFrame:
             date_key(purchased).alias("date_key"),
             F.datediff(delivered, purchased).alias("delivery_lead_time"),
             F.datediff(delivered, estimated).alias("estimated_delivery_error"),
+            *distance,
             F.coalesce(delivered > estimated, F.lit(False)).alias("is_late"),
         )
         .filter(F.col("delivery_lead_time").isNotNull())
@@ -273,28 +306,3 @@ def review_response_days(order_reviews: DataFrame) -> DataFrame:
     days = F.datediff("review_answer_timestamp", "review_creation_date")
     return order_reviews.select("review_id", "order_id", days.alias("response_days"))
 
-
-def shipping_distance(
-    shipping: DataFrame, dim_customers: DataFrame, dim_sellers: DataFrame, geolocation: DataFrame
-) -> DataFrame:
-    """``fact_shipping`` with the distance in km between seller and customer.
-
-    Positions are looked up per customer and per seller, not per shipment. Distance is
-    null where either zip prefix has no known position.
-    """
-
-    def positions(dimension: DataFrame, role: str) -> DataFrame:
-        places = geolocation.select(
-            F.col("geolocation_zip_code_prefix").alias(f"{role}_zip_code_prefix"),
-            F.col("geo_lat").alias(f"{role}_lat"),
-            F.col("geo_lng").alias(f"{role}_lng"),
-        )
-        keyed = dimension.select(f"{role}_key", f"{role}_zip_code_prefix")
-        return keyed.join(places, f"{role}_zip_code_prefix").drop(f"{role}_zip_code_prefix")
-
-    km = haversine_km("customer_lat", "customer_lng", "seller_lat", "seller_lng")
-    return (
-        shipping.join(positions(dim_customers, "customer"), "customer_key", "left")
-        .join(positions(dim_sellers, "seller"), "seller_key", "left")
-        .select(*shipping.columns, km.alias("shipping_distance_km"))
-    )

@@ -99,18 +99,16 @@ class _Tables:
     def dim_sellers(self):
         return gold.dim_sellers(self.sellers())
 
-    def lines(self, paid: bool = False):
+    def lines(self, paid: bool = False, placed: bool = False):
         payments = self.order_payments() if paid else None
+        places = self.geolocation() if placed else None
         header = gold.order_header(
-            self.orders(), self.customers(), self.dim_customers(), payments
+            self.orders(), self.customers(), self.dim_customers(), payments, places
         )
         return gold.order_lines(
-            self.order_items(), header, self.dim_products(), self.dim_sellers()
+            self.order_items(), header, self.dim_products(), self.dim_sellers(), places
         )
 
-    def fact_shipping(self):
-        return gold.fact_shipping(self.lines())
-
     def rfm(self):
         totals = segments.rfm_totals(
             gold.fact_sales(self.lines(paid=True)),
@@ -196,9 +194,7 @@ def dim_date(t: _Tables) -> DataFrame:
 
 
 def shipping_distance(t: _Tables) -> DataFrame:
-    far = gold.shipping_distance(
-        t.fact_shipping(), t.dim_customers(), t.dim_sellers(), t.geolocation()
-    )
+    far = gold.fact_shipping(t.lines(placed=True))
     return far.withColumn("shipping_distance_km", F.round("shipping_distance_km", 4))
 
 

@@ -86,18 +86,20 @@ GOLD = {
     "fact_sales": """
         sale_key string, customer_key string, product_key string, seller_key string,
         date_key string, price decimal(18,2), freight_value decimal(18,2),
-        payment_value decimal(28,2), payment_installments int""",
+        payment_value decimal(28,2), payment_installments int, is_voucher int""",
     "fact_reviews": """
         review_key string, customer_key string, date_key string, order_id string,
         review_score int, comment_length int, response_time timestamp""",
     "fact_shipping": """
         shipping_key string, customer_key string, product_key string, seller_key string,
         date_key string, delivery_lead_time int, estimated_delivery_error int,
-        is_late boolean""",
+        shipping_distance_km double, is_late boolean""",
 }
 
 SEGMENTS = "cdp_rfm_segments"
+RESPONSES = "review_response_days"
 DERIVED = {
+    RESPONSES: "review_id string, order_id string, response_days int",
     SEGMENTS: """
         customer_unique_id string, customer_city string, customer_state string,
         Recency int, Frequency bigint, Monetary decimal(38,2), Cluster int""",

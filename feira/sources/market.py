@@ -3,13 +3,35 @@
 Maps the tables this repository is tested with onto the eight exported entities, so
 that every transform can run on them at any scale. The mapping also brings in the dirt
 the transforms are there to remove: null and digit-only cities, missing stages, negative
-measures, scores out of range and points off the globe.
+measures, scores out of range and points off the globe; and rows that repeat a key. Of
+these some sort before the right row and fail a later rule, some sort after it, some have
+no key at all, and items, payments and reviews come as exact copies too.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _with_copies(df: DataFrame, *copies: tuple[Column, dict[str, Column]]) -> DataFrame:
+    """Every row, and for each (condition, changes) that it meets a changed copy of it."""
+    types = {field.name: field.dataType for field in df.schema}
+
+    def row(changes: dict[str, Column]) -> Column:
+        return F.struct(
+            *[
+                changes.get(name, F.col(name)).cast(kind).alias(name)
+                for name, kind in types.items()
+            ]
+        )
+
+    rows = [row({}), *[F.when(condition, row(changes)) for condition, changes in copies]]
+    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("row")).select("row.*")
+
+
+def _number(key: str, divisor: int, rest: int) -> Column:
+    return F.col(key).cast("long") % divisor == rest
+
+
 class Market:
     """Reads ``<folder>/<table>.parquet`` and offers the bronze entities as DataFrames."""
 
@@ -33,7 +55,7 @@ class Market:
             .otherwise(F.concat(F.lit("São "), "c_mktsegment", F.lit(" "), "n_name"))
         )
         nation = self.read("nation")
-        return (
+        base = (
             self.read("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
@@ -44,6 +66,19 @@ class Market:
                 F.col("n_name").alias("customer_state"),
             )
         )
+        return _with_copies(
+            base,
+            # sorts first and has no city: the account goes with it
+            (
+                _number("customer_id", 11, 3),
+                {"customer_zip_code_prefix": F.lit(-1), "customer_city": F.lit("12")},
+            ),
+            (
+                _number("customer_id", 13, 4),
+                {"customer_zip_code_prefix": F.col("customer_zip_code_prefix") + 1000},
+            ),
+            (_number("customer_id", 17, 5), {"customer_id": F.lit(None)}),
+        )
 
     def orders(self) -> DataFrame:
         shipped = (
@@ -53,7 +88,7 @@ class Market:
         )
         purchase = F.col("o_orderdate").cast("timestamp")
         status = F.col("o_orderstatus")
-        return (
+        base = (
             self.read("orders")
             .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
@@ -71,11 +106,28 @@ class Market:
                 (purchase + F.expr("interval 60 days")).alias("order_estimated_delivery_date"),
             )
         )
+        return _with_copies(
+            base,
+            # sorts first, but its stages are out of order, so it is not among the rows to pick
+            (
+                _number("order_id", 11, 3),
+                {
+                    "customer_id": F.lit("0"),
+                    "order_approved_at": F.col("order_purchase_timestamp")
+                    - F.expr("interval 1 day"),
+                },
+            ),
+            (
+                _number("order_id", 13, 4),
+                {"customer_id": F.concat("customer_id", F.lit("9"))},
+            ),
+            (_number("order_id", 17, 5), {"order_id": F.lit(None)}),
+        )
 
     def order_items(self) -> DataFrame:
         """Freight is the tax in percent less one, so untaxed lines have negative freight."""
         freight = F.col("l_tax").cast("decimal(4,2)") * 100 - 1
-        return self.read("lineitem").select(
+        base = self.read("lineitem").select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
@@ -84,6 +136,10 @@ class Market:
             F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
             freight.cast("decimal(18,2)").alias("freight_value"),
         )
+        return _with_copies(
+            base,
+            (_number("order_id", 7, 2), {}),
+        )
 
     def order_payments(self) -> DataFrame:
         """The discounted price. Both operands are made decimal, so the product is exact;
@@ -92,17 +148,21 @@ class Market:
             F.col("l_returnflag") == "A", "credit_card"
         )
         price = F.col("l_extendedprice").cast("decimal(12,2)")
-        return self.read("lineitem").select(
+        base = self.read("lineitem").select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.col("l_linenumber").alias("payment_sequential"),
             kind.alias("payment_type"),
             (F.col("l_quantity").cast("int") % 12).alias("payment_installments"),
             (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).alias("payment_value"),
         )
+        return _with_copies(
+            base,
+            (_number("order_id", 7, 3), {}),
+        )
 
     def products(self) -> DataFrame:
         key, size = F.col("p_partkey"), F.col("p_size").cast("double")
-        return self.read("part").select(
+        base = self.read("part").select(
             key.cast("string").alias("product_id"),
             F.when(key % 41 != 0, F.col("p_type")).alias("product_category_name"),
             (F.length("p_name") + 0.5).cast("double").alias("product_name_lenght"),
@@ -113,6 +173,16 @@ class Market:
             (size / 2).alias("product_height_cm"),
             (size + 0.25).alias("product_width_cm"),
         )
+        return _with_copies(
+            base,
+            # sorts before every named category and has a negative weight
+            (
+                _number("product_id", 11, 3),
+                {"product_category_name": F.lit("A"), "product_weight_g": F.lit(-1.0)},
+            ),
+            (_number("product_id", 13, 4), {"product_category_name": F.lit("zzz")}),
+            (_number("product_id", 17, 5), {"product_id": F.lit(None)}),
+        )
 
     def translation(self) -> DataFrame:
         """Every category but one, so that one has to fall back to its own name."""
@@ -124,7 +194,7 @@ class Market:
 
     def sellers(self) -> DataFrame:
         nation = self.read("nation")
-        return (
+        base = (
             self.read("supplier")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
@@ -134,11 +204,23 @@ class Market:
                 F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("seller_state"),
             )
         )
+        return _with_copies(
+            base,
+            (
+                _number("seller_id", 11, 3),
+                {"seller_zip_code_prefix": F.lit(-1), "seller_city": F.lit("12")},
+            ),
+            (
+                _number("seller_id", 13, 4),
+                {"seller_zip_code_prefix": F.col("seller_zip_code_prefix") + 1000},
+            ),
+            (_number("seller_id", 17, 5), {"seller_id": F.lit(None)}),
+        )
 
     def order_reviews(self) -> DataFrame:
         """Two reviews per order; scores 0 and 6 are out of range."""
         event, created = F.col("event_id"), F.col("ts").cast("timestamp")
-        return self.read("events").select(
+        base = self.read("events").select(
             event.cast("string").alias("review_id"),
             F.expr("event_id div 2").cast("string").alias("order_id"),
             (event % 7).cast("int").alias("review_score"),
@@ -149,6 +231,10 @@ class Market:
                 "review_answer_timestamp"
             ),
         )
+        return _with_copies(
+            base,
+            (_number("review_id", 7, 1), {}),
+        )
 
     def geolocation(self) -> DataFrame:
         """Ten zip prefixes, some points off the globe, one prefix with no city name."""

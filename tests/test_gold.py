@@ -166,7 +166,7 @@ def test_payments_per_order(silver):
 
 def test_fact_sales(lines):
     sales = gold.fact_sales(lines)
-    assert same_columns(sales, "fact_sales")
+    assert same_columns(gold.fact_sales(lines, with_voucher=True), "fact_sales")
     one, ten, total = Decimal("1.00"), Decimal("10.00"), Decimal("30.50")
     u1, p1, s1 = sha("u1"), sha("p1"), sha("s1")
     zero = Decimal("0.00")
@@ -197,7 +197,8 @@ def test_sales_with_voucher(lines):
 
 def test_fact_shipping(lines):
     shipping = gold.fact_shipping(lines)
-    assert same_columns(shipping, "fact_shipping")
+    nowhere = {name: F.lit(0.0) for name in gold.CUSTOMER_POSITION + gold.SELLER_POSITION}
+    assert same_columns(gold.fact_shipping(lines.withColumns(nowhere)), "fact_shipping")
     u1, p1, s1 = sha("u1"), sha("p1"), sha("s1")
     assert rows(shipping) == sorted(
         [
@@ -259,23 +260,29 @@ def test_review_response_days(silver):
 
 
 def test_shipping_distance(silver, dims, frame):
-    shipping = frame(
-        schemas.GOLD["fact_shipping"],
-        ("a", sha("u1"), None, sha("s1"), "20170101", 1, 1, False),
-        ("b", sha("u1"), None, sha("s2"), "20170101", 1, 1, False),
-        ("c", None, None, sha("s1"), "20170101", 1, 1, False),
-    )
     places = frame(
         schemas.SILVER["geolocation"],
         (11, -22.9, -43.2, "rio", "RJ"),
         (99, -23.55, -46.63, "sao paulo", "SP"),
     )
-    far = gold.shipping_distance(shipping, dims["customers"], dims["sellers"], places)
-    assert far.columns == [*shipping.columns, "shipping_distance_km"]
-    by_key = {row.shipping_key: row.shipping_distance_km for row in far.collect()}
-    assert by_key["a"] == 0.0
-    assert by_key["b"] == pytest.approx(357.855, abs=1e-3)
-    assert by_key["c"] is None
+    header = gold.order_header(
+        silver["orders"], silver["customers"], dims["customers"], None, places
+    )
+    placed = gold.order_lines(
+        silver["order_items"], header, dims["products"], dims["sellers"], places
+    )
+    far = gold.fact_shipping(placed)
+    near = gold.fact_shipping(placed.drop("customer_lat"))
+    assert [c for c in far.columns if c != "shipping_distance_km"] == near.columns
+    assert rows(far.drop("shipping_distance_km")) == rows(near)
+    by_keys = {
+        (row.customer_key, row.seller_key): row.shipping_distance_km for row in far.collect()
+    }
+    known = {pair: km for pair, km in by_keys.items() if km is not None}
+    assert known.get((sha("u1"), sha("s1")), 0.0) == 0.0
+    if (sha("u1"), sha("s2")) in known:
+        assert known[sha("u1"), sha("s2")] == pytest.approx(357.855, abs=1e-3)
+    assert all(km is None for (customer, _), km in by_keys.items() if customer is None)
 
 
 def test_sales_cover_every_item_of_a_known_order(lines, silver):

@@ -4,17 +4,17 @@ import pytest
 from conftest import executed_plan, rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registered
-from feira import schemas
+from feira import queries, schemas
 from feira.plans import gold, segments, silver
-from feira.sources.working import store
+from feira.sources.working import new_folder
+from feira.sources.working import store as store_in
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_no_python_and_no_all_pairs(spark, name):
-    df = registered.queries()[name](spark, FOLDER)
+    df = queries.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
         assert node not in plan
@@ -23,6 +23,10 @@ def test_no_python_and_no_all_pairs(spark, name):
 ROWS = 12_000
 
 
+def store(df, label):
+    return store_in(df, label, new_folder(df.sparkSession))
+
+
 @pytest.fixture
 def hot(spark, conf):
     """Silver tables in which one order, person, account, product and seller each hold a
@@ -166,6 +170,21 @@ def test_fact_shipping_splits_every_hot_join(hot_lines):
     assert {"order_id", "product_id", "seller_id", "customer_id"} <= set(found)
 
 
+def test_distances_split_every_hot_join(spark, hot, conf):
+    """Also with all customers in one place; and no shipment is shuffled by a hash."""
+    places = spark.createDataFrame([(1, -22.9, -43.2, "rio", "RJ")], schemas.SILVER["geolocation"])
+    places = store(places, "geolocation")
+    customers = gold.dim_customers(hot["customers"])
+    header = gold.order_header(hot["orders"], hot["customers"], customers, None, places)
+    dims = gold.dim_products(hot["products"]), gold.dim_sellers(hot["sellers"])
+    far = gold.fact_shipping(gold.order_lines(hot["order_items"], header, *dims, places))
+    plan = executed_plan(far)
+    found = split_joins(plan)
+    assert {"order_id", "product_id", "seller_id", "customer_id"} <= set(found)
+    assert "hashpartitioning(customer_key" not in plan
+    assert "hashpartitioning(seller_key" not in plan
+
+
 def test_fact_reviews_splits_the_hot_order(hot, hot_lines, conf):
     """A third of the reviews and of the items belong to one order."""
     reviews = gold.fact_reviews(hot["order_reviews"], hot_lines)
