@@ -151,7 +151,8 @@ def training_rows(
     joined = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.substring(text, 1, TRAIN_BYTES).alias("data")
     ).join(F.broadcast(sample), "doc_id")
-    rows = joined.select("doc_id", "quality", "data").limit(4 * TRAIN_ROWS)
+    # one text for each sampled label, so at most 2 * TRAIN_ROWS rows come here
+    rows = joined.groupBy("doc_id", "quality").agg(F.min("data"))
     return [(row[0], row[1], bytes(row[2])) for row in rows.collect()], counts
 
 

@@ -445,7 +445,7 @@ def deduplicated_bytes(docs: DataFrame, folder: str | None = None) -> DataFrame:
     copy = long & (F.col("doc") > F.col("first"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<begin: bigint, end: bigint>>")
-    joined = light.join(small(results.select("*")), ["doc", "digest"], "left")
+    joined = light.join(results, ["doc", "digest"], "left")
     return joined.select(
         "doc_id",
         "n_bytes",
