@@ -5,6 +5,8 @@ from conftest import executed_plan, rows
 from pyspark.sql import functions as F
 
 from feira import queries, schemas
+from feira.operators import orphans
+from feira.operators.lookup import translate_or_keep
 from feira.plans import gold, segments, silver
 from feira.sources.working import new_folder
 from feira.sources.working import store as store_in
@@ -251,3 +253,54 @@ def test_rfm_reads_three_of_nine_columns_of_the_sales(spark, hot_lines):
     ]
     assert len(scans) == 1
     assert "freight_value" not in scans[0] and "product_key" not in scans[0]
+
+
+def test_rfm_with_a_hot_customer_and_a_hot_day(spark, hot_lines, conf):
+    """Sums are made per task, so the hot customer is one row when customers are joined."""
+    sales = store(gold.fact_sales(hot_lines), "fact_sales")
+    customers = store(
+        sales.select("customer_key").distinct().selectExpr(
+            "customer_key", "customer_key AS customer_unique_id",
+            "'rio' AS customer_city", "'RJ' AS customer_state",
+        ),
+        "customers",
+    )
+    totals = segments.rfm_totals(sales, store(gold.dim_date(spark), "dim_date"), customers)
+    plan = executed_plan(totals)
+    assert "date_key" in split_joins(plan)
+    assert plan.count("partial_count") >= 1
+    expected = rows(totals)
+    conf(adaptive__enabled="false")
+    assert rows(totals.select("*")) == expected
+
+
+def test_orphans_of_a_hot_key_are_counted_before_the_join(hot):
+    """A third of the items miss the same order."""
+    known = store(hot["orders"].filter("order_id <> 'ohot'"), "known_orders")
+    report = orphans([("order_items", hot["order_items"], "orders", known, "order_id")])
+    plan = executed_plan(report)
+    assert plan.index("LeftAnti") < plan.rindex("partial_count")
+    [row] = rows(report)
+    assert row[:3] == ("order_items", "orders", "order_id") and row[4] == 1
+    assert row[3] == ROWS // 3
+
+
+def test_a_hot_category_is_split(spark, hot):
+    """Also null: a third of the products have one category, a third have none."""
+    n = F.col("id")
+    kind = F.when(n % 3 == 0, "hot").when(n % 3 == 1, F.concat(F.lit("k"), (n % 50).cast("string")))
+    products = store(
+        spark.range(ROWS).select(n.alias("product_id"), kind.alias("category")).repartition(8),
+        "some_products",
+    )
+    lookup = store(
+        spark.range(50).selectExpr("concat('k', id) AS category", "concat('e', id) AS english"),
+        "some_translation",
+    )
+    named = translate_or_keep(products, lookup.union(
+        spark.createDataFrame([("hot", "warm")], "category string, english string")
+    ), "category", "english")
+    counted = named.groupBy("category").count()
+    assert "category" in split_joins(executed_plan(counted))
+    found = {row.category: row["count"] for row in counted.collect()}
+    assert found["warm"] == ROWS // 3 and found[None] == ROWS // 3
