@@ -16,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_suffix_dedup": suffix_dedup.OP2_SQL,
     "op4_chat": chat.OP4_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,

@@ -458,3 +458,30 @@ def deduplicated_bytes(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated_bytes(read_documents(spark, sf_dir)).drop("runs")
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS g
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS p FROM d)),
+f AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g),
+r AS (SELECT doc_id, p FROM w JOIN f USING (g) WHERE doc_id > first),
+o AS (
+  SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens
+  FROM r),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o),
+runs AS (SELECT doc_id, run, min(p) AS b, max(p) + 50 AS e FROM n GROUP BY ALL),
+parts AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS s, b AS t FROM runs
+  UNION ALL SELECT doc_id, max(e), NULL FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id,
+         string_agg(substr(h, 2 * s + 1, 2 * (coalesce(t, length(h) // 2) - s)), '' ORDER BY s) AS h
+  FROM parts JOIN d USING (doc_id) GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(e - b) AS n, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
