@@ -23,7 +23,7 @@ from feira.sources.working import new_folder
 
 END_ID = 2
 # A segment is closed when it has so many ids; one document is never cut.
-SEGMENT_IDS = 4096 * idcoder.BLOCK_IDS
+SEGMENT_IDS = 8192 * idcoder.BLOCK_IDS
 # Longer texts go to the tokenizers library itself: the faster one is built for shorter runs.
 LONG_TEXT = 1 << 20
 
@@ -47,10 +47,10 @@ class Encoder:
         )
         self.exact = Tokenizer.from_str(file)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if len(text) > LONG_TEXT:
-            return self.exact.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special="all")
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.fast.encode_to_numpy(text, allowed_special="all")
 
 
 def _segments(vocabulary):
@@ -61,9 +61,10 @@ def _segments(vocabulary):
             made["encoder"] = Encoder(*vocabulary.value)
         encoder, part, number = made["encoder"], None, 0
         doc_ids, sizes, parts, waiting = [], [], [], 0
+        end = np.array([END_ID], np.uint32)
 
         def close() -> pa.RecordBatch:
-            ids = np.concatenate(parts)
+            ids = np.concatenate(parts).astype(np.int64)
             columns = [[part], [number], [len(ids)], [list(doc_ids)], [list(sizes)], [idcoder.encode(ids)]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays(
@@ -74,11 +75,11 @@ def _segments(vocabulary):
         for batch in sliced(batches):
             part = batch["part"][0].as_py()
             for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"]), strict=True):
-                ids = np.array([*encoder.encode(text), END_ID], np.int64)
+                ids = encoder.encode(text)
                 doc_ids.append(doc_id)
-                sizes.append(len(ids))
-                parts.append(ids)
-                waiting += len(ids)
+                sizes.append(len(ids) + 1)
+                parts += [ids, end]
+                waiting += len(ids) + 1
                 if waiting >= SEGMENT_IDS:
                     yield close()
                     number += 1
