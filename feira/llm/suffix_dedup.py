@@ -217,7 +217,8 @@ def _send_tuples(owners: int, bits: int):
 
 
 def _send_prefixes(tuple_owners: int, bits: int, owners: int):
-    """Names of prefixes near repeated tuples; and, for owner -1, where these prefixes are."""
+    """Names of prefixes near repeated tuples; and where these prefixes are, which goes to the
+    block's own owner with a number below zero."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -231,7 +232,8 @@ def _send_prefixes(tuple_owners: int, bits: int, owners: int):
             where = np.concatenate([[len(sizes)], sizes, *[r.ravel() for r in ranges]])
             names, _ = _sorted_names(prefixes)
             rows = _codes(block.number, names, owners, PREFIX_BITS)
-            yield _code_batch([*rows, (-1, block.number, where.astype("<i8").tobytes())])
+            kept = (-1 - block.number, block.number, where.astype("<i8").tobytes())
+            yield _code_batch([*rows, kept])
 
     return send
 
@@ -252,7 +254,10 @@ def _others(key: tuple, codes: pd.DataFrame) -> pd.DataFrame:
 
 
 def _earlier(key: tuple, codes: pd.DataFrame) -> pd.DataFrame:
-    """For each block a bitmap: which of its names an earlier block has."""
+    """For each block a bitmap: which of its names an earlier block has. What is for a block
+    itself is passed on."""
+    if key[0] < 0:
+        return codes.rename(columns={"code": "bitmap"})[["owner", "block", "bitmap"]]
     codes = codes.sort_values("block")
     lists = [golomb.decode(code) for code in codes["code"]]
     merged = np.concatenate(lists)
@@ -414,13 +419,12 @@ def removed_runs(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     others = stored(others, "others", folder)
     send = _send_prefixes(tuple_owners, bits, owners)
     prefixes = _with_answers(blocks, others).mapInArrow(send, _CODES)
-    prefixes = stored(prefixes, "prefixes", folder)
-    earlier = prefixes.where("owner >= 0").groupBy("owner").applyInPandas(
+    earlier = prefixes.groupBy("owner").applyInPandas(
         _earlier, "owner int, block int, bitmap binary"
     )
     earlier = stored(earlier, "earlier", folder)
-    ranges = prefixes.where("owner < 0").select("block", F.col("code").alias("ranges"))
-    results = _with_answers(blocks, earlier, ranges).mapInArrow(
+    ranges = earlier.where("owner < 0").select("block", F.col("bitmap").alias("ranges"))
+    results = _with_answers(blocks, earlier.where("owner >= 0"), ranges).mapInArrow(
         _cut_texts(owners),
         "doc long, digest string, n_removed long, n_spans long, kept_sha256 string,"
         " runs array<struct<begin: long, end: long>>",
