@@ -5,6 +5,9 @@ normalised (letters A-Z in lower case, white space as one space) and, if it has
 to say something, digested. A unit is removed if its digest occurs before it in its document,
 or anywhere in a document with a smaller doc_id, so the earliest ranked occurrence stays.
 Offsets are those of the original text, in code points.
+
+All joins are by a shuffle, at every size: units and the texts that they are cut from move
+once, in proportion to the input.
 """
 
 import hashlib
@@ -17,12 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.llm.common import read_documents, ship, sliced, small, stored, texts
+from feira.llm.common import read_documents, ship, sliced, stored, texts
 from feira.sources.working import new_folder
 
 MIN_WORDS = 4
-# Removed units that may be broadcast in all; more are joined by a shuffle.
-BROADCAST_UNITS = 1_000_000
 
 _END = re.compile(r"\n|[.!?] ")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -82,7 +83,7 @@ def removed_units(docs: DataFrame, folder: str) -> DataFrame:
         F.min("doc").alias("first"), F.max("doc").alias("last")
     )
     shared = stored(ranks.where("first < last").select("digest", "first"), "shared", folder)
-    elsewhere = found.where("not again").join(small(shared), "digest").where("doc > first")
+    elsewhere = found.where("not again").join(shared, "digest").where("doc > first")
     span = ["doc", "tie", "begin", "end"]
     return elsewhere.select(*span).union(found.where("again").select(*span))
 
@@ -134,8 +135,6 @@ def _with_spans(docs: DataFrame, keyed: DataFrame, folder: str) -> DataFrame:
         F.collect_set(F.struct("begin", "end")).alias(_SPANS)
     )
     spans = stored(spans, "spans", folder)
-    if removed.count() <= BROADCAST_UNITS:
-        spans = F.broadcast(spans)
     return keyed.join(spans, [_DOC, _TIE], "left")
 
 

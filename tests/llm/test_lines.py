@@ -47,12 +47,6 @@ def test_rows_of_any_kind(documents, rows):
     assert same(map(tuple, found), brute([row[:2] for row in rows]))
 
 
-def test_join_by_shuffle_gives_the_same(documents, rows, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BROADCAST_UNITS", 0)
-    found = line_dedup.deduplicated_units(documents).collect()
-    assert same(map(tuple, found), brute([row[:2] for row in rows]))
-
-
 def test_texts_are_cut(documents):
     left = line_dedup.without_repeated_units(documents)
     assert left.columns == documents.columns
