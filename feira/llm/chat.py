@@ -7,6 +7,8 @@ outermost linked level come from is the one replied to; without such a link it i
 before. Conversations come out in reply order, without quotes.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +129,8 @@ def previous_turns(messages: DataFrame, folder: str) -> DataFrame:
 def roots(parents: DataFrame, folder: str) -> DataFrame:
     """(conv, at, root, depth) from (conv, at, parent), by jumps of doubling length.
 
-    Each round is stored, and the number of rounds is the logarithm of the longest chain.
+    Each round is stored, takes up only what has not come to its root, and the number of
+    rounds is the logarithm of the longest chain.
     """
     jumps = parents.select(
         "conv",
@@ -136,12 +139,13 @@ def roots(parents: DataFrame, folder: str) -> DataFrame:
         F.col("parent").isNotNull().cast("long").alias("depth"),
     )
     jumps, step = stored(jumps, "jumps_0", folder), 0
-    while True:
+    begins, waiting, done = jumps.where("depth = 0"), jumps.where("depth > 0"), []
+    while not waiting.isEmpty():
         step += 1
-        far = jumps.select(
+        far = reduce(DataFrame.union, [waiting, *done]).select(
             "conv", F.col("at").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more")
-        ).where("more > 0")
-        longer = jumps.join(far, ["conv", "root"], "left").select(
+        )
+        longer = waiting.join(far, ["conv", "root"], "left").select(
             "conv",
             "at",
             F.coalesce("next", "root").alias("root"),
@@ -149,9 +153,9 @@ def roots(parents: DataFrame, folder: str) -> DataFrame:
             F.col("next").isNotNull().alias("moved"),
         )
         longer = stored(longer, f"jumps_{step}", folder)
-        jumps = longer.drop("moved")
-        if longer.where("moved").isEmpty():
-            return jumps
+        done.append(longer.where("not moved").drop("moved"))
+        waiting = longer.where("moved").drop("moved")
+    return reduce(DataFrame.union, [begins, *done])
 
 
 def reply_ordered(conversations: DataFrame, folder: str | None = None) -> DataFrame:
