@@ -162,7 +162,7 @@ def test_running_again_gives_the_same_tables(lake, spark):
 def test_a_table_cannot_be_replaced_by_itself(lake):
     with pytest.raises(AnalysisException):
         lake.write(lake.table("silver", "sellers"), "silver", "sellers")
-    assert lake.table("silver", "sellers").count() == 10
+    assert lake.table("silver", "sellers").count() == 11
 
 
 def test_from_csv_exports(lake, spark, tmp_path):
