@@ -14,7 +14,7 @@ _HEAD = struct.Struct("<QBQ")
 
 
 def encode(values: np.ndarray) -> bytes:
-    """``values``: ascending, different numbers below 2^63, as uint64."""
+    """``values``: ascending numbers below 2^63, as uint64. Equal ones may follow one another."""
     if not len(values):
         return _HEAD.pack(0, 0, 0)
     gaps = np.diff(values, prepend=np.uint64(0))

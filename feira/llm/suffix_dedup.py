@@ -12,8 +12,9 @@ recursion on names is left to do.
    as Golomb codes; an owner merges the sorted lists and answers with a bitmap: which names
    another block has as well.
 3. The remaining suffixes that are up to 30 bytes before a repeated tuple are merged in: their
-   50-byte prefixes are named, sorted and sent in the same way. Equal names are neighbours in
-   the owner's merge; it answers which prefixes an earlier block has.
+   50-byte prefixes are named by strongly universal hashes, sorted and sent in the same way,
+   with a check beside each name. Prefixes of equal names and checks are neighbours in the
+   owner's merge; it answers which prefixes an earlier block has.
 4. Each block marks what is covered by prefixes that an earlier block, or a smaller doc_id in
    itself, has.
 
@@ -39,7 +40,7 @@ MODULUS = 31
 COVER = (1, 5, 11, 24, 25, 27)
 TUPLE = LENGTH - MODULUS + 1
 # Names of tuples only have to be rarely equal by chance: so many bits more than it takes to
-# number all tuples. Names of prefixes decide.
+# number all tuples. Names of prefixes decide, together with a check of 32 bits more.
 SPARE_BITS, PREFIX_BITS = 12, 62
 # Bytes of text worked on at once, and names that an owner merges.
 PIECE = 1 << 22
@@ -52,8 +53,19 @@ BROADCAST_BYTES = 64 << 20
 # What a null doc_id counts as: it comes before all others.
 _NO_ID = -(1 << 63)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+# Words of 8 bytes that hold a prefix; the last two overlap.
+_OFFSETS = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+# Keys of three hashes of a prefix: a sum to start from, and a factor for each half of a word.
+_KEYS = np.frombuffer(
+    hashlib.shake_256(b"feira.suffix_dedup").digest(24 * (1 + 2 * len(_OFFSETS))), "<u8"
+).reshape(-1, 3)
+# Prefixes hashed at once, so that what is worked on stays in a processor's cache.
+_HASHED = 1 << 14
 _CODES = "owner int, block int, code binary"
 
+# 62-bit names of prefixes, and a check of each: a string is told by both.
+Names = tuple[np.ndarray, np.ndarray]
+
 
 class Piece:
     """Some texts in one buffer, with where each begins and ends."""
@@ -77,6 +89,27 @@ class Piece:
         found *= _MULTIPLIER
         return found >> np.uint64(64 - bits)
 
+    def prefix_names(self, places: np.ndarray) -> Names:
+        """Names and checks of the prefixes at each place.
+
+        Three multilinear hashes of 32-bit words with 64-bit keys, of which the upper bits are
+        taken. These are strongly universal: whatever two different strings look like, they
+        agree in all 94 bits for one of 2^94 choices of keys.
+        """
+        names, checks = np.empty(len(places), np.uint64), np.empty(len(places), np.uint32)
+        lower = np.uint64((1 << 32) - 1)
+        for start in range(0, len(places), _HASHED):
+            some = slice(start, start + _HASHED)
+            sums = [np.full(len(places[some]), key) for key in _KEYS[0]]
+            for i, offset in enumerate(_OFFSETS):
+                words = self.words[places[some] + offset]
+                for half, keys in ((words & lower, _KEYS[2 * i + 1]), (words >> 32, _KEYS[2 * i + 2])):
+                    for lane, key in zip(sums, keys, strict=True):
+                        lane += half * key
+            names[some] = (sums[0] >> 33 << 31 | sums[1] >> 33) >> (62 - PREFIX_BITS)
+            checks[some] = sums[2] >> 32
+        return names, checks
+
     def sampled(self) -> np.ndarray:
         """Places of the cover at which a whole tuple fits into its text."""
         size = len(self.buffer) - 8
@@ -128,6 +161,25 @@ def _codes(block: int, names: np.ndarray, owners: int, bits: int) -> list[tuple[
     return [(i, block, golomb.encode(part)) for i, part in enumerate(parts) if len(part)]
 
 
+def _prefix_codes(block: int, prefixes: Names, owners: int) -> list[tuple[int, int, bytes]]:
+    """Codes of names as of ``_codes``, each after its length and before its checks."""
+    names, checks = prefixes
+    parts = _cut(names, owners, PREFIX_BITS)
+    ends = np.cumsum([len(part) for part in parts])
+    rows = []
+    for i, (part, end) in enumerate(zip(parts, ends, strict=True)):
+        if len(part):
+            code = golomb.encode(part)
+            own = checks[end - len(part) : end].astype("<u4").tobytes()
+            rows.append((i, block, len(code).to_bytes(8, "little") + code + own))
+    return rows
+
+
+def _prefix_names(code: bytes) -> Names:
+    end = 8 + int.from_bytes(code[:8], "little")
+    return golomb.decode(code[8:end]), np.frombuffer(code, "<u4", offset=end)
+
+
 def _marks(answer: list[dict], names: np.ndarray, owners: int, bits: int) -> np.ndarray:
     """The bits of the owners' answers, in the order of the names."""
     bitmaps = {row["owner"]: row["bitmap"] for row in answer or []}
@@ -194,19 +246,71 @@ def _sorted_names(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return names[starts], np.diff(starts, append=len(names)) > 1
 
 
-def _member(names: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which names are among others, which are sorted. Most are ruled out by a bit table."""
+def _ordered(prefixes: Names, kind: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The order of prefixes by name and check, and which but the first equal the one before.
+
+    Equal ones keep their order in a sort of the stable kind.
+    """
+    names, checks = prefixes
+    order = np.argsort(names, kind=kind)
+    same = names[order[1:]] == names[order[:-1]]
+    differ = checks[order[1:]] != checks[order[:-1]]
+    if (same & differ).any():  # different strings share a name
+        order = np.lexsort((checks, names))
+        same = names[order[1:]] == names[order[:-1]]
+        differ = checks[order[1:]] != checks[order[:-1]]
+    return order, same & ~differ
+
+
+def _sorted_prefixes(parts: list[Names]) -> tuple[Names, np.ndarray]:
+    """Different prefixes in order, and which of them came more than once."""
+    if not parts:
+        return (np.zeros(0, np.uint64), np.zeros(0, np.uint32)), np.zeros(0, bool)
+    names, checks = (np.concatenate(column) for column in zip(*parts, strict=True))
+    order, same = _ordered((names, checks))
+    starts = np.flatnonzero(np.append(True, ~same)[: len(names)])
+    again = np.diff(starts, append=len(names)) > 1
+    order = order[starts]
+    return (names[order], checks[order]), again
+
+
+def _candidates(names: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Numbers of the names that can be among others. Most are ruled out by a bit table."""
     table = np.zeros(1 << 22, bool)
     low = np.uint64((1 << 22) - 1)
     table[among & low] = True
-    found = table[names & low]
-    some = np.flatnonzero(found)
+    return np.flatnonzero(table[names & low])
+
+
+def _member(names: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which names are among others, which are sorted."""
+    found = np.zeros(len(names), bool)
+    some = _candidates(names, among)
     if len(some):
         places = np.minimum(np.searchsorted(among, names[some]), len(among) - 1)
         found[some] = among[places] == names[some]
     return found
 
 
+def _find(prefixes: Names, among: Names) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the prefixes that are among others, which are sorted, and where there."""
+    (names, checks), (names_there, checks_there) = prefixes, among
+    some = _candidates(names, names_there)
+    there = np.searchsorted(names_there, names[some])
+    numbers, places = [], []
+    while len(some):  # more than once only if different strings share a name
+        left = there < len(names_there)
+        some, there = some[left], there[left]
+        left = names_there[there] == names[some]
+        some, there = some[left], there[left]
+        equal = checks_there[there] == checks[some]
+        numbers.append(some[equal])
+        places.append(there[equal])
+        some, there = some[~equal], there[~equal] + 1
+    nothing = np.zeros(0, np.int64)
+    return np.concatenate([nothing, *numbers]), np.concatenate([nothing, *places])
+
+
 def _send_tuples(owners: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -227,11 +331,11 @@ def _send_prefixes(tuple_owners: int, bits: int, owners: int):
             ranges, prefixes = [], []
             for piece, places, found in _tuples(block, bits):
                 ranges.append(piece.before(places[_member(found, repeated)]))
-                prefixes.append(piece.names(piece.within(ranges[-1]), LENGTH, PREFIX_BITS))
+                prefixes.append(piece.prefix_names(piece.within(ranges[-1])))
             sizes = np.array([len(r) for r in ranges], np.int64)
             where = np.concatenate([[len(sizes)], sizes, *[r.ravel() for r in ranges]])
-            names, _ = _sorted_names(prefixes)
-            rows = _codes(block.number, names, owners, PREFIX_BITS)
+            prefixes, _ = _sorted_prefixes(prefixes)
+            rows = _prefix_codes(block.number, prefixes, owners)
             kept = (-1 - block.number, block.number, where.astype("<i8").tobytes())
             yield _code_batch([*rows, kept])
 
@@ -259,14 +363,13 @@ def _earlier(key: tuple, codes: pd.DataFrame) -> pd.DataFrame:
     if key[0] < 0:
         return codes.rename(columns={"code": "bitmap"})[["owner", "block", "bitmap"]]
     codes = codes.sort_values("block")
-    lists = [golomb.decode(code) for code in codes["code"]]
-    merged = np.concatenate(lists)
-    # a stable sort keeps equal names in order of their blocks
-    order = np.argsort(merged, kind="stable")
-    again = np.zeros(len(merged), bool)
-    ordered = merged[order]
-    again[order[1:]] = ordered[1:] == ordered[:-1]
-    cuts = np.cumsum([len(names) for names in lists])[:-1]
+    lists = [_prefix_names(code) for code in codes["code"]]
+    # equal prefixes stay in order of their blocks
+    merged = tuple(np.concatenate(column) for column in zip(*lists, strict=True))
+    order, same = _ordered(merged, "stable")
+    again = np.zeros(len(order), bool)
+    again[order[1:]] = same
+    cuts = np.cumsum([len(names) for names, _ in lists])[:-1]
     return _answers(key[0], codes["block"], np.split(again, cuts))
 
 
@@ -286,21 +389,21 @@ def covered(places: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def _prefixes(
     block: _Block, ranges: list[np.ndarray]
-) -> Iterator[tuple[int, Piece, np.ndarray, np.ndarray]]:
+) -> Iterator[tuple[int, Piece, np.ndarray, Names]]:
     """Each piece with the number of its first text, its places and their names."""
     for (first, piece), own in zip(pieces(block.texts), ranges, strict=True):
         places = piece.within(own)
-        yield first, piece, places, piece.names(places, LENGTH, PREFIX_BITS)
+        yield first, piece, places, piece.prefix_names(places)
 
 
-def _smallest(block: _Block, ranges: list[np.ndarray], names: np.ndarray) -> np.ndarray:
-    """The smallest doc_id of the block that has each of some names, which are sorted."""
-    smallest = np.full(len(names), np.iinfo(np.int64).max)
+def _smallest(block: _Block, ranges: list[np.ndarray], prefixes: Names) -> np.ndarray:
+    """The smallest doc_id of the block that has each of some prefixes, which are sorted."""
+    smallest = np.full(len(prefixes[0]), np.iinfo(np.int64).max)
     docs = np.array(block.docs, np.int64)
     for first, piece, places, found in _prefixes(block, ranges):
-        some = np.flatnonzero(_member(found, names))
+        some, there = _find(found, prefixes)
         owners = docs[piece.text_at(places[some]) + first]
-        np.minimum.at(smallest, np.searchsorted(names, found[some]), owners)
+        np.minimum.at(smallest, there, owners)
     return smallest
 
 
@@ -310,19 +413,21 @@ def _block_runs(block: _Block, owners: int) -> list[list[tuple[int, int]]]:
     ranges = _ranges(block.ranges) if block.ranges is not None else []
     if not sum(map(len, ranges)):
         return runs
-    names, again = _sorted_names([found for *_, found in _prefixes(block, ranges)])
+    (names, checks), again = _sorted_prefixes([found for *_, found in _prefixes(block, ranges)])
     marks = _marks(block.answer, names, owners, PREFIX_BITS)
-    # only names that come more than once can be in a smaller doc_id of the block itself
-    elsewhere, within = names[marks], names[again & ~marks]
-    del names, marks, again
-    smallest = _smallest(block, ranges, within) if len(within) else None
+    # only prefixes that come more than once can be in a smaller doc_id of the block itself
+    again &= ~marks
+    elsewhere, within = (names[marks], checks[marks]), (names[again], checks[again])
+    del names, checks, marks, again
+    smallest = _smallest(block, ranges, within) if len(within[0]) else None
     docs = np.array(block.docs, np.int64)
     for first, piece, places, found in _prefixes(block, ranges):
-        removed = _member(found, elsewhere)
+        removed = np.zeros(len(places), bool)
+        removed[_find(found, elsewhere)[0]] = True
         if smallest is not None:
-            some = np.flatnonzero(_member(found, within))
+            some, there = _find(found, within)
             own = docs[piece.text_at(places[some]) + first]
-            removed[some] = own > smallest[np.searchsorted(within, found[some])]
+            removed[some] = own > smallest[there]
         places = places[removed]
         for text, begin, end in covered(places, piece.text_at(places)).tolist():
             start = int(piece.begins[text])

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from feira.llm import suffix_dedup
@@ -77,5 +78,33 @@ def test_runs_that_touch_are_one():
     assert suffix_dedup.covered(places, text).tolist() == [[0, 0, 110], [0, 111, 161], [1, 300, 350]]
 
 
+def test_digits_four_and_eight_bytes_apart_are_told_apart(spark):
+    """Different strings of 50 bytes that differ in digits at bytes 15, 19 and 23 only."""
+    template = "5207 024 419 79{} 72{} 92{} 139 452 146 473 679 407 5"
+    texts = [template.format(*f"{i:03}") for i in range(1000)]
+    piece = suffix_dedup.Piece([text.encode() for text in texts])
+    names, _ = piece.prefix_names(piece.begins)
+    assert len(set(names.tolist())) == 1000
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert suffix_dedup.deduplicated_bytes(frame).where("n_removed > 0").collect() == []
+
+
+def test_strings_that_share_a_name_are_told_apart_by_their_checks():
+    def prefixes(*pairs):
+        names, checks = zip(*pairs, strict=True)
+        return np.array(names, np.uint64), np.array(checks, np.uint32)
+
+    found, again = suffix_dedup._sorted_prefixes([prefixes((7, 2), (9, 1), (7, 1)), prefixes((7, 2))])
+    assert [column.tolist() for column in found] == [[7, 7, 9], [1, 2, 1]]
+    assert again.tolist() == [False, True, False]
+    numbers, places = suffix_dedup._find(prefixes((9, 5), (7, 2), (7, 1), (9, 1), (8, 1)), found)
+    assert sorted(zip(numbers.tolist(), places.tolist(), strict=True)) == [(1, 1), (2, 0), (3, 2)]
+    rows = suffix_dedup._prefix_codes(0, found, 1)
+    rows += suffix_dedup._prefix_codes(1, prefixes((7, 2), (7, 3), (9, 2)), 1)
+    codes = pd.DataFrame(rows, columns=["owner", "block", "code"])
+    bitmaps = suffix_dedup._earlier((0,), codes).sort_values("block")["bitmap"]
+    assert [format(bitmap[0], "08b")[:3] for bitmap in bitmaps] == ["000", "100"]
+
+
 def test_empty(empty):
     assert suffix_dedup.deduplicated_bytes(empty).collect() == []
