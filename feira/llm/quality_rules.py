@@ -1,7 +1,9 @@
 """Quality rules: counts per document, and its distance from what its language looks like.
 
-A language's reference is the sum over all its documents that are not very short: a histogram of
-character classes, and one of its most common short words. A document that is long enough
+A language's reference is made from all its documents that are not very short: a histogram of
+character classes, each the median of its share in a document, and one of its most common short
+words, summed. So neither long documents nor many unusual ones, up to nearly half of all, move
+the classes far. A document that is long enough
 to be judged is rejected if the Jensen-Shannon distance between its histogram and the
 reference is above a threshold. Texts are read twice: once for the references, of which each
 task sends sums, and once to measure and judge each document.
@@ -28,8 +30,8 @@ SYMBOLS = "#*$%&|<>"
 # Divergence rules: a distance above the threshold rejects, if there is enough text to judge.
 MAX_CLASS_DISTANCE, CLASS_CHANCE, MIN_CLASS_CHARS = 0.12, 0.9, 200
 MAX_WORD_DISTANCE, WORD_CHANCE, MIN_WORD_COUNT = 0.18, 1.5, 50
-# Documents further than this from all of their language do not shape its reference.
-MAX_ROUGH_DISTANCE = 0.25
+# Shares of character classes are counted in parts of so many, so that few different ones occur.
+SHARES = 1 << 14
 COMMON_WORDS = 32
 # Words that can be common ones: without outer punctuation, of so many characters at most.
 SHORT_WORD = 6
@@ -136,7 +138,7 @@ def diverges(n_words: int, word_chars: int, class_distance: float, word_distance
 
 
 def js_distance(left: np.ndarray, right: np.ndarray) -> float:
-    """Jensen-Shannon distance (root of the divergence, base 2) of two arrays of counts.
+    """Jensen-Shannon distance (root of the divergence, base 2) of two arrays of counts or shares.
 
     0 if either has no counts: nothing is known, nothing is held against it.
     """
@@ -184,28 +186,28 @@ def _reference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     yield summed()
 
 
-def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows whose class counts are not far from ``ref_classes``."""
-    for batch in batches:
-        usual = {lang: np.array(classes, float) for lang, classes in zip(batch["lang"].to_pylist(), batch["ref_classes"].to_pylist(), strict=True)}
-        near = [
-            js_distance(np.array(classes, float), usual[lang]) <= MAX_ROUGH_DISTANCE
-            for lang, classes in zip(batch["lang"].to_pylist(), batch["classes"].to_pylist(), strict=True)
-        ]
-        yield batch.filter(pa.array(near)).select(["lang", "classes"])
-
+def _usual_classes(rows: DataFrame) -> DataFrame:
+    """Per language the medians of the classes' shares in a document, each document counted once.
 
-def _summed_classes(rows: DataFrame) -> DataFrame:
-    sums = [F.sum(F.col("classes")[i]).alias(f"class_{i}") for i in range(len(CLASSES))]
-    columns = F.array(*[f"class_{i}" for i in range(len(CLASSES))])
-    return rows.groupBy("lang").agg(*sums).select("lang", columns.alias("ref_classes"))
+    Where no document is usual, the medians of different classes come from different documents
+    and make up less than half a text together; there it is the sums of the shares. Shares are
+    whole numbers, so neither depends on the order of rows.
+    """
+    total = F.aggregate("classes", F.lit(0).cast("long"), lambda a, b: a + b)
+    numbers = range(len(CLASSES))
+    shares = [F.floor(F.col("classes")[i] * SHARES / total).alias(f"share_{i}") for i in numbers]
+    medians = F.array(*[F.percentile(f"share_{i}", 0.5) for i in numbers])
+    sums = F.array(*[F.sum(f"share_{i}").cast("double") for i in numbers])
+    found = rows.select("lang", *shares).groupBy("lang").agg(medians.alias("medians"), sums.alias("sums"))
+    covered = F.aggregate("medians", F.lit(0.0), lambda a, b: a + b)
+    usual = F.when(covered * 2 >= SHARES, F.col("medians")).otherwise(F.col("sums"))
+    return found.select("lang", usual.alias("ref_classes"))
 
 
 def references(docs: DataFrame, folder: str) -> DataFrame:
-    """Per language: summed character classes, number of words, common words and their counts.
+    """Per language: usual character classes, number of words, common words and their counts.
 
-    Documents whose character classes are far from the sum over their language are left out of
-    its classes. Of words that are equally common the one that sorts first counts.
+    Of words that are equally common the one that sorts first counts.
     """
     ship(docs.sparkSession)
     light = docs.select(_language().alias("lang"), "text")
@@ -214,9 +216,6 @@ def references(docs: DataFrame, folder: str) -> DataFrame:
     )
     counts = stored(counts, "counts", folder)
     by_document, by_word = counts.where("word is null"), counts.where("word is not null")
-    rough = small(stored(_summed_classes(by_document), "rough", folder), rows=10_000)
-    near = by_document.select("lang", "classes").join(rough, "lang")
-    near = near.mapInArrow(_near_batches, "lang string, classes array<long>")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (
         by_word.groupBy("lang", "word")
@@ -228,7 +227,7 @@ def references(docs: DataFrame, folder: str) -> DataFrame:
         .select("lang", F.col("top.word").alias("ref_top"), F.col("top.n").alias("ref_counts"))
     )
     words = by_document.groupBy("lang").agg(F.sum("n_words").alias("ref_words"))
-    joined = words.join(top, "lang", "left").join(_summed_classes(near), "lang", "left")
+    joined = words.join(top, "lang", "left").join(_usual_classes(by_document), "lang", "left")
     return stored(joined, "references", folder)
 
 

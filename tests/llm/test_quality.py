@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -76,6 +77,49 @@ def test_labelled_documents(spark):
     assert np.mean(bad) < 0.1
 
 
+def judged(spark, texts):
+    """Verdicts on texts of one language, in their order."""
+    frame = spark.createDataFrame([(i, "en", text) for i, text in enumerate(texts)], "doc_id long, lang string, text string")
+    return quality_rules.quality_verdicts(frame.repartition(4)).orderBy("doc_id").collect()
+
+
+def prose(rng, n):
+    letters = "eeeeaaoottiinnsshrdlcum"
+    words = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)]
+    return ". ".join(" ".join(words[i : i + 12]).capitalize() for i in range(0, n, 12)) + "."
+
+
+def junk(rng, n, signs):
+    return " ".join("".join(rng.choices(signs, k=rng.randint(2, 9))) for _ in range(n))
+
+
+JUNK = ["0123456789", "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+
+
+@pytest.mark.parametrize("long", [1, 40])
+def test_junk_of_a_third_does_not_shape_the_reference(spark, long):
+    """Junk in a third of the documents, or in a few very long ones with as many characters."""
+    rng = random.Random(5)
+    clean = [prose(rng, 400) for _ in range(80)]
+    dirty = [junk(rng, 400 * long, signs) for signs in JUNK for _ in range(14 if long == 1 else 1)]
+    share = sum(map(len, dirty)) / sum(map(len, clean + dirty))
+    assert 0.3 < share < 0.7
+    rows = judged(spark, clean + dirty)
+    limit = quality_rules.MAX_CLASS_DISTANCE + quality_rules.CLASS_CHANCE * 400**-0.5
+    assert max(row.class_distance for row in rows[:80]) < limit
+    assert min(row.class_distance for row in rows[80:]) > limit
+    assert not any(row.kept for row in rows[80:])
+
+
+def test_a_language_without_usual_documents_has_a_reference(spark):
+    """A third of the documents each in digits, signs and capitals: all medians but white space are 0."""
+    rng = random.Random(6)
+    rows = judged(spark, [junk(rng, 400, signs) for signs in JUNK for _ in range(10)])
+    distances = [row.class_distance for row in rows]
+    assert 0.3 < min(distances)
+    assert max(distances) - min(distances) < 0.1
+
+
 def test_empty(empty):
     assert quality_rules.quality_verdicts(empty).collect() == []
     assert quality_rules.drop_rejected(empty).collect() == []
