@@ -36,11 +36,12 @@ COMMON_WORDS = 32
 # Words that can be common ones: without outer punctuation, of so many characters at most.
 SHORT_WORD = 6
 
-# A word can have so many bytes at most, punctuation included, to be looked at.
-_SHORT_BYTES = 12
+# A word can have so many bytes at most, without outer punctuation, to be looked at.
+_SHORT_BYTES = 4 * SHORT_WORD
 
 WHITE = " \t\n\r\x0b\x0c"
 OUTER = ".,;:!?()\"'"
+_OUTER_BYTES = OUTER.encode()
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "symbol", "other"]
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -63,12 +64,20 @@ def _class_table() -> np.ndarray:
     return table
 
 
+def _is_word(plain: str) -> bool:
+    """Whether there are only letters and their marks, such as the vowel signs of Hindi."""
+    if plain.isalpha():
+        return True
+    letters = [char for char in plain if unicodedata.category(char)[0] != "M"]
+    return bool(letters) and "".join(letters).isalpha()
+
+
 class _Plain(dict):
     """Word in bytes to its form among common words, "" if it cannot be one; bounded."""
 
     def __missing__(self, word: bytes) -> str:
         plain = word.decode().lower().strip(OUTER)
-        found = plain if len(plain) <= SHORT_WORD and plain.isalpha() else ""
+        found = plain if len(plain) <= SHORT_WORD and _is_word(plain) else ""
         if len(self) > 300_000:
             self.clear()
         self[word] = found
@@ -78,7 +87,9 @@ class _Plain(dict):
 def short_words(words: list[bytes], plain: dict[bytes, str]) -> dict[str, int]:
     """How often each form that can be a common word occurs."""
     found: dict[str, int] = {}
-    counted = Counter([word for word in words if len(word) <= _SHORT_BYTES])
+    counted = Counter(
+        [w for w in words if len(w) <= _SHORT_BYTES or len(w.strip(_OUTER_BYTES)) <= _SHORT_BYTES]
+    )
     for form, n in zip(map(plain.__getitem__, counted), counted.values(), strict=True):
         if form:
             found[form] = found.get(form, 0) + n

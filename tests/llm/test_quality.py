@@ -42,6 +42,13 @@ def test_many_kinds_of_words_still_fit():
     assert quality_rules.repeated_words(ids, 1 << 40) == 6
 
 
+def test_short_words_are_told_by_letters_in_any_script():
+    text = "Привет, привет है नमस्ते ひらがなです (((((word))))) ............. longest straße"
+    found = quality_rules.short_words(text.encode().split(), quality_rules._Plain())
+    expected = {"привет": 2, "है": 1, "नमस्ते": 1, "ひらがなです": 1, "word": 1, "straße": 1}
+    assert found == expected
+
+
 def test_js_distance():
     a = np.array([1.0, 0.0])
     assert quality_rules.js_distance(a, np.array([0.0, 3.0])) == pytest.approx(1.0)
