@@ -2,7 +2,7 @@ import hashlib
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tests.conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

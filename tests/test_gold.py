@@ -3,7 +3,7 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from tests.conftest import rows
 from pyspark.sql import functions as F
 
 from feira import schemas

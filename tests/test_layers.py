@@ -3,7 +3,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from tests.conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

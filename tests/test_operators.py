@@ -1,6 +1,6 @@
 import random
 
-from conftest import executed_plan, rows
+from tests.conftest import executed_plan, rows
 from pyspark.sql import functions as F
 
 from feira.operators import (

@@ -1,7 +1,7 @@
 """What Spark does with the queries: no Python, no all-pairs joins, hot keys split."""
 
 import pytest
-from conftest import executed_plan, rows
+from tests.conftest import executed_plan, rows
 from pyspark.sql import functions as F
 
 from feira import queries, schemas

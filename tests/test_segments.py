@@ -5,7 +5,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import executed_plan, rows
+from tests.conftest import executed_plan, rows
 from pyspark.sql import functions as F
 
 from feira import schemas
@@ -15,7 +15,7 @@ from feira.plans import gold, segments
 @pytest.fixture
 def stars(spark, frame):
     def sale(key, customer, day, paid):
-        return (key, customer, "p", "s", day, Decimal(1), Decimal(0), paid, 1)
+        return (key, customer, "p", "s", day, Decimal(1), Decimal(0), paid, 1, 0)
 
     sales = frame(
         schemas.GOLD["fact_sales"],

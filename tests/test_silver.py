@@ -1,7 +1,7 @@
 from datetime import datetime
 from decimal import Decimal
 
-from conftest import rows
+from tests.conftest import rows
 
 from feira import schemas
 from feira.plans import silver

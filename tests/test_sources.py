@@ -3,7 +3,7 @@ from pathlib import Path
 from unittest.mock import MagicMock, patch
 
 import pytest
-from conftest import rows
+from tests.conftest import rows
 
 from feira import schemas
 from feira.sources import exports, sinks, working
