@@ -1,6 +1,18 @@
 """Queries of the operators in this package, and their SQL where SQL can express them."""
 
-from feira.llm import bpe, chat, compress_score, exact_dedup, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_files
+from feira.llm import (
+    bpe,
+    chat,
+    compress_score,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+)
 
 QUERIES = {
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
@@ -13,6 +25,7 @@ QUERIES = {
     "op7_mixing": mixing.op7_mixing,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
