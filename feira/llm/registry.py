@@ -5,6 +5,8 @@ from feira.llm import (
     chat,
     compress_score,
     exact_dedup,
+    fingerprints,
+    lexical_search,
     line_dedup,
     mixing,
     periodic_runs,
@@ -25,6 +27,8 @@ QUERIES = {
     "op7_mixing": mixing.op7_mixing,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
+    "op12_fingerprints": fingerprints.op12_fingerprints,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
@@ -33,4 +37,5 @@ ORACLE_SQL = {
     "op4_chat": chat.OP4_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op11_lexical_search": lexical_search.OP11_SQL,
 }

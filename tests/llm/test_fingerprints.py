@@ -1,0 +1,159 @@
+import math
+import random
+import re
+from hashlib import sha256
+
+import numpy as np
+import pytest
+import xxhash
+
+from feira.llm import fingerprints as fp
+from feira.llm.common import read_documents
+from tests.llm.conftest import SF, same
+
+
+def brute_terms(text):
+    lowered = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    return re.findall(r"[^\x20\x09-\x0D]+", lowered)
+
+
+def brute_weights(texts):
+    counts = {}
+    for text in texts:
+        for term in set(brute_terms(text)):
+            slot = int.from_bytes(xxhash.xxh3_128_digest(term.encode())[-4:], "little") % fp.SLOTS
+            counts[slot] = counts.get(slot, 0) + 1
+    total = len(texts)
+    return lambda slot: 1 + round(8 * max(0.0, math.log((total + 1) / (counts.get(slot, 0) + 1))))
+
+
+def brute_fingerprint(text, weight):
+    votes = [0] * fp.BITS
+    for term in brute_terms(text):
+        digest = xxhash.xxh3_128_digest(term.encode())
+        w = weight(int.from_bytes(digest[-4:], "little") % fp.SLOTS)
+        value = int.from_bytes(digest, "big")
+        for b in range(fp.BITS):
+            votes[b] += w if value >> (fp.BITS - 1 - b) & 1 else -w
+    return sum(1 << (fp.BITS - 1 - b) for b in range(fp.BITS) if votes[b] > 0)
+
+
+def brute_classes(values, ids, radius):
+    group = list(range(len(values)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(values):
+        for j in range(i):
+            if (a ^ values[j]).bit_count() <= radius:
+                group[find(i)] = find(j)
+    lowest = {}
+    for i, doc_id in enumerate(ids):
+        if doc_id is not None:
+            lowest[find(i)] = min(lowest.get(find(i), doc_id), doc_id)
+    return [lowest.get(find(i)) for i in range(len(values))]
+
+
+def brute_rows(table):
+    """The query's rows for (doc_id, text) in the order of doc_id."""
+    weight = brute_weights([text for _, text in table])
+    values = [brute_fingerprint(text, weight) for _, text in table]
+    classes = brute_classes(values, [doc_id for doc_id, _ in table], fp.RADIUS)
+    out = []
+    for i, (doc_id, text) in enumerate(table):
+        text, j = text or "", (i + 1) % len(table)
+        half = len(text) // 2
+        changed = text[: len(text) - half] + (table[j][1] or "")[:half]
+        other = brute_fingerprint(changed, weight)
+        near = [1 - (values[i] ^ v).bit_count() / fp.BITS for v in (other, values[j])]
+        digest = sha256(changed.encode()).hexdigest()
+        out.append((doc_id, len(text), digest, f"{values[i]:032x}", f"{other:032x}", *near, classes[i]))
+    return out
+
+
+def test_query_on_a_given_table(spark, conf):
+    conf(shuffle__partitions="3", adaptive__coalescePartitions__enabled="false")
+    table = read_documents(spark, SF).select("doc_id", "text").orderBy("doc_id").collect()
+    expected = brute_rows([tuple(row) for row in table])
+    found = [tuple(row) for row in fp.op12_fingerprints(spark, SF).collect()]
+    assert same(found, expected)
+    # half of the text is kept, which shows
+    closer = sum(row[5] > row[6] for row in found if row[1] > 200)
+    assert closer > 0.95 * sum(row[1] > 200 for row in found)
+
+
+@pytest.mark.parametrize("partitions", ["1", "7", "64"])
+def test_the_next_text_comes_over_any_border(spark, conf, tmp_path, partitions):
+    conf(shuffle__partitions=partitions, adaptive__coalescePartitions__enabled="false")
+    rng = random.Random(2)
+    table = [(i * 3 - 40, "".join(rng.choice("ab éß字") for _ in range(rng.randrange(30)))) for i in range(40)]
+    shuffled = rng.sample(table, len(table))
+    frame = spark.createDataFrame(shuffled, "doc_id long, text string").repartition(5)
+    found = fp.with_edits(frame, str(tmp_path)).select("doc_id", "n_chars", "edited_sha256")
+    expected = [row[:3] for row in brute_rows(table)]
+    assert same(map(tuple, found.collect()), expected)
+
+
+def test_rows_of_any_kind(documents, rows, tmp_path):
+    """Repeated and null doc_ids follow one another in some order; every text is edited once."""
+    found = fp.with_edits(documents, str(tmp_path)).collect()
+    assert same([(r.doc_id, r.n_chars) for r in found], [(row[0], len(row[1] or "")) for row in rows])
+    weight = brute_weights([row[1] for row in rows])
+    expected = [(row[0], brute_fingerprint(row[1], weight)) for row in rows]
+    mask = (1 << 64) - 1
+    assert same([(r.doc_id, (r.hi & mask) << 64 | r.lo & mask) for r in found], expected)
+    assert all(r.edited_sha256 and r.next_hi is not None and r.edited_lo is not None for r in found)
+
+
+def test_one_row_follows_itself(spark, frame, tmp_path):
+    row = fp.with_edits(frame("doc_id long, text string", (5, "abcdef")), str(tmp_path)).first()
+    assert row.edited_sha256 == sha256(b"abcabc").hexdigest()
+    assert (row.hi, row.lo) == (row.next_hi, row.next_lo)
+
+
+def test_tables_hold_every_pair_within_the_radius():
+    rng = random.Random(3)
+    for radius, blocks in [(6, 8), (3, 4), (3, 8), (0, 2)]:
+        width = fp.BITS // blocks
+        for _ in range(500):
+            touched = {b // width for b in rng.sample(range(fp.BITS), radius)}
+            assert any(not touched & set(chosen) for chosen in fp.tables(radius, blocks))
+    with pytest.raises(ValueError):
+        fp.tables(8, 8)
+
+
+def test_dense_groups_and_chains(spark, tmp_path, monkeypatch):
+    """Groups that are cut into parts give the classes that whole ones give."""
+    monkeypatch.setattr(fp, "PART", 8)
+    rng = random.Random(5)
+    values, chain = set(), 0
+    for step in range(20):
+        chain ^= sum(1 << b for b in rng.sample(range(128), 1 + step % 6))
+        values.add(chain)
+    centre = rng.getrandbits(128)
+    values |= {centre ^ sum(1 << b for b in rng.sample(range(128), 4)) for _ in range(150)}
+    values |= {rng.getrandbits(128) for _ in range(60)} | {0}
+    values = sorted(values)
+    halves = np.array([[v >> 64, v & (1 << 64) - 1] for v in values], np.uint64).view(np.int64).tolist()
+    table = [(i, *halves[i]) for i in range(len(values))]
+    frame = spark.createDataFrame(table, "doc_id long, hi long, lo long").repartition(3)
+    found = {(r.hi, r.lo): r.class_id for r in fp.near_classes(frame, str(tmp_path)).collect()}
+    expected = brute_classes(values, list(range(len(values))), fp.RADIUS)
+    assert [found[tuple(h)] for h in halves] == expected
+
+
+def test_long_texts_are_counted_in_parts(monkeypatch):
+    weights = np.arange(fp.SLOTS, dtype=np.int16) % 90 + 1
+    words = [b"%d" % (i * i % 1009) for i in range(5000)]
+    whole = fp.fingerprints_of([words, [], words], weights).tolist()
+    monkeypatch.setattr(fp, "VOTES_AT_ONCE", 64)
+    assert fp.fingerprints_of([words, [], words], weights).tolist() == whole
+    assert whole[0] == whole[2] and whole[1] == [0, 0]
+
+
+def test_empty(empty, tmp_path):
+    assert fp.fingerprints(empty).collect() == []
+    assert fp.with_edits(empty, str(tmp_path)).collect() == []
