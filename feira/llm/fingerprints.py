@@ -32,7 +32,7 @@ BITS = 128
 RADIUS = 6
 BLOCKS = 8
 # Documents per term are counted in so many slots; two terms in one slot share their weight.
-SLOTS = 1 << 17
+SLOTS = 1 << 16
 # Weights are whole numbers of this part of a unit of the logarithm, from 1.
 WEIGHT_UNITS = 8
 # Texts are handled together up to so many bytes.
@@ -45,7 +45,7 @@ VOTES_AT_ONCE = 1 << 14
 
 ROW = "_feira_row"
 EDITS = (
-    "row long, doc_id long, n_chars long, edited_sha256 string, hi long, lo long, "
+    "row long, doc_id long, n_chars long, edited_sha256 binary, hi long, lo long, "
     "edited_hi long, edited_lo long, next_hi long, next_lo long, "
     "is_first boolean, is_last boolean, text string"
 )
@@ -146,7 +146,7 @@ def _edited(weights: np.ndarray):
             done = []
             for k, text in enumerate(changed):
                 row, doc_id, before, print_ = rows[k]
-                digest = sha256(text.encode()).hexdigest()
+                digest = sha256(text.encode()).digest()
                 edge = before if is_first else None
                 done.append(
                     (row, doc_id, len(before), digest, *print_, *theirs[k], *rows[k + 1][3], is_first, False, edge)
@@ -165,7 +165,7 @@ def _edited(weights: np.ndarray):
 
 
 _EDIT_TYPES = [
-    pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(),
+    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(),
     pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(),
 ]
 
@@ -179,7 +179,7 @@ def _finished(weights: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["row"],
-                    pa.array([sha256(t.encode()).hexdigest() for t in changed]),
+                    pa.array([sha256(t.encode()).digest() for t in changed], pa.binary()),
                     pa.array(np.ascontiguousarray(prints[:, 0])),
                     pa.array(np.ascontiguousarray(prints[:, 1])),
                 ],
@@ -245,10 +245,11 @@ def with_edits(docs: DataFrame, folder: str | None = None) -> DataFrame:
     met = edges.where("is_last").drop("next_hi", "next_lo", "edited_hi", "edited_lo", "edited_sha256")
     met = stored(met.join(follows, "row").join(theirs, "next_row"), "met", folder)
     changed = met.select("row", "text", "next_text").mapInArrow(
-        _finished(weights), "row long, edited_sha256 string, edited_hi long, edited_lo long"
+        _finished(weights), "row long, edited_sha256 binary, edited_hi long, edited_lo long"
     )
-    completed = met.drop("next_text", "next_row").join(changed, "row")
-    return rows.where("not is_last").unionByName(completed)
+    completed = stored(met.drop("next_text", "next_row").join(changed, "row"), "completed", folder)
+    whole = rows.where("not is_last").unionByName(completed)
+    return whole.withColumn("edited_sha256", F.lower(F.hex("edited_sha256")))
 
 
 def tables(radius: int = RADIUS, blocks: int = BLOCKS) -> list[tuple[int, ...]]:
@@ -345,7 +346,7 @@ def near_links(
 def near_classes(
     rows: DataFrame, folder: str, radius: int = RADIUS, blocks: int = BLOCKS
 ) -> DataFrame:
-    """hi, lo and class_id for every different fingerprint of ``rows`` (doc_id, hi, lo; stored).
+    """hi, lo and class_id for every different fingerprint of ``rows`` (doc_id, hi, lo).
 
     class_id is the smallest doc_id that links within the radius reach; null doc_ids take no part.
     """
@@ -373,7 +374,7 @@ def likeness(a: tuple[str, str], b: tuple[str, str]) -> Column:
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
-    rows = stored(with_edits(read_documents(spark, sf_dir), folder).drop("text"), "rows", folder)
+    rows = with_edits(read_documents(spark, sf_dir), folder)
     classes = stored(near_classes(rows, folder), "classes", folder)
     return rows.join(small(classes), ["hi", "lo"]).select(
         "doc_id",
