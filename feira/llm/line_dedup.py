@@ -1,10 +1,11 @@
 """Substring dedup by hashing units of text: lines, and sentences within lines.
 
-A text is cut after every line break and after every sentence sign with a space. A unit is
-normalised (letters A-Z in lower case, white space as one space) and, if it has enough words
-to say something, digested. A unit is removed if its digest occurs before it in its document,
-or anywhere in a document with a smaller doc_id, so the earliest ranked occurrence stays.
-Offsets are those of the original text, in code points.
+Units are all lines with a word in them, however short, and the sentences of lines that have
+several, cut after a sentence sign with a space. A sentence must have ``SENTENCE_CHARS`` code
+points or more: "Yes. " or "No. 5. " between others says nothing on its own. A unit is normalised
+(letters A-Z in lower case, white space as one space) and digested. It is removed if its digest
+occurs before it in its document, or anywhere in a document with a smaller doc_id, so the
+earliest ranked occurrence stays. Offsets are those of the original text, in code points.
 
 All joins are by a shuffle, at every size: units and the texts that they are cut from move
 once, in proportion to the input.
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 from feira.llm.common import read_documents, ship, sliced, stored, texts
 from feira.sources.working import new_folder
 
-MIN_WORDS = 4
+# Normalised sentences inside a line are units from so many code points on.
+SENTENCE_CHARS = 16
 
-_END = re.compile(r"\n|[.!?] ")
+_LINE = re.compile(r"[^\n]*\n|[^\n]+")
+_SENTENCE_END = re.compile(r"[.!?] ")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {letter: letter + 32 for letter in range(65, 91)}
 # Key and spans of a row, beside columns of any name.
@@ -34,15 +37,24 @@ _DOC, _TIE, _SPANS = "_feira_doc", "_feira_tie", "_feira_spans"
 _NO_ID = -(1 << 63)
 
 
+def _normal(text: str) -> str:
+    return " ".join(_WORDS.findall(text.translate(_LOWER)))
+
+
 def units(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """Begin, end and digest of every unit with ``MIN_WORDS`` words or more."""
-    begin = 0
-    for mark in [*_END.finditer(text), None]:
-        end = mark.end() if mark else len(text)
-        words = _WORDS.findall(text[begin:end].translate(_LOWER))
-        if len(words) >= MIN_WORDS:
-            yield begin, end, xxhash.xxh3_128_digest(" ".join(words))
-        begin = end
+    """Begin, end and digest of every unit, a line before its sentences."""
+    for line in _LINE.finditer(text):
+        begin, end = line.span()
+        if normal := _normal(line[0]):
+            yield begin, end, xxhash.xxh3_128_digest(normal)
+        ends = [mark.end() for mark in _SENTENCE_END.finditer(text, begin, end)]
+        if ends and ends[-1] != end:
+            ends.append(end)
+        for stop in ends if len(ends) > 1 else []:
+            sentence = _normal(text[begin:stop])
+            if len(sentence) >= SENTENCE_CHARS:
+                yield begin, stop, xxhash.xxh3_128_digest(sentence)
+            begin = stop
 
 
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,9 +101,13 @@ def removed_units(docs: DataFrame, folder: str) -> DataFrame:
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """What is left of a text, how many code points go, and in how many runs."""
+    """What is left of a text, how many code points go, and in how many runs. A line's span may
+    hold those of its sentences."""
     parts, place, removed, runs, last = [], 0, 0, 0, -1
     for begin, end in sorted(spans):
+        if end <= place:
+            continue
+        begin = max(begin, place)
         parts.append(text[place:begin])
         runs += begin != last
         removed += end - begin
@@ -168,26 +184,35 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = r"""
-WITH cut AS (
-  SELECT doc_id, coalesce(text, '') AS body,
-         string_split(regexp_replace(coalesce(text, ''), '(\n|[.!?] )', '\1' || chr(1), 'g'), chr(1)) AS units
-  FROM documents),
-u AS (SELECT doc_id, unnest(units) AS unit, generate_subscripts(units, 1) AS pos FROM cut),
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines FROM documents)),
+c AS (
+  SELECT doc_id, line, line_no, regexp_extract_all(line, '(?s).*?[.!?] |.+') AS pieces FROM l),
+p AS (
+  SELECT doc_id, line_no, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS piece_no, len(pieces) AS n FROM c),
+u AS (
+  SELECT doc_id, line_no, 0 AS piece_no, line AS unit, 1 AS least FROM l
+  UNION ALL SELECT doc_id, line_no, piece_no, piece, 16 FROM p WHERE n > 1),
 n AS (
-  SELECT *, array_to_string(regexp_extract_all(
+  SELECT doc_id, line_no, piece_no, least, array_to_string(regexp_extract_all(
            translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^\x20\x09-\x0D]+'), ' ') AS plain,
-         len(regexp_extract_all(unit, '[^\x20\x09-\x0D]+')) >= 4 AS counts
+           '[^\x20\x09-\x0D]+'), ' ') AS plain
   FROM u),
 r AS (
-  SELECT *, counts AND row_number() OVER (PARTITION BY counts, plain ORDER BY doc_id, pos) > 1 AS removed
-  FROM n),
+  SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id, line_no, piece_no) > 1 AS removed
+  FROM n WHERE length(plain) >= least),
+g AS (
+  SELECT p.doc_id, p.line_no, p.piece_no, p.piece,
+         coalesce(whole.removed, false) OR coalesce(part.removed, false) AS removed
+  FROM p LEFT JOIN r whole ON (whole.doc_id, whole.line_no, whole.piece_no) = (p.doc_id, p.line_no, 0)
+         LEFT JOIN r part ON (part.doc_id, part.line_no, part.piece_no) = (p.doc_id, p.line_no, p.piece_no)),
 s AS (
-  SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens
-  FROM r)
-SELECT doc_id, CAST(sum(length(unit)) AS BIGINT) AS n_chars,
-       CAST(coalesce(sum(length(unit)) FILTER (removed), 0) AS BIGINT) AS n_removed,
+  SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY line_no, piece_no), false) AS opens
+  FROM g)
+SELECT d.doc_id, CAST(coalesce(sum(length(piece)), 0) AS BIGINT) AS n_chars,
+       CAST(coalesce(sum(length(piece)) FILTER (removed), 0) AS BIGINT) AS n_removed,
        count(*) FILTER (opens) AS n_spans,
-       sha256(coalesce(string_agg(unit, '' ORDER BY pos) FILTER (NOT removed), '')) AS kept_sha256
-FROM s GROUP BY doc_id
+       sha256(coalesce(string_agg(piece, '' ORDER BY line_no, piece_no) FILTER (NOT removed), '')) AS kept_sha256
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """

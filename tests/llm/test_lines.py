@@ -1,42 +1,58 @@
 import hashlib
 import re
 
+import duckdb
+
 from feira.llm import line_dedup
-from tests.llm.conftest import same
+from tests.llm.conftest import SF, same
+
+
+def plain(unit):
+    words = re.findall(r"[^\x20\x09-\x0D]+", unit)
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in " ".join(words))
+
+
+def pieces_of(text):
+    """Lines, each as the list of its sentences."""
+    out = []
+    for line in re.split(r"(?<=\n)", text):
+        if line:
+            out.append([p for p in re.split(r"(?<=[.!?] )", line) if p])
+    return out
 
 
 def brute(rows):
     """(doc_id, text) rows; rows with equal ids and texts are one document."""
     rank = {None: -(10**20)}
-    documents = {}
-    for i, text in rows:
-        units = []
-        begin = 0
-        for mark in re.finditer(r"\n|[.!?] |\Z", text or ""):
-            units.append((text or "")[begin : mark.end()])
-            begin = mark.end()
-        documents[i, text or ""] = units
-
-    def plain(unit):
-        words = re.findall(r"[^\x20\x09-\x0D]+", unit)
-        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in " ".join(words))
-        return lower if len(words) >= 4 else None
+    documents = {(i, text or ""): pieces_of(text or "") for i, text in rows}
+
+    def units(pieces):
+        yield None, plain("".join(pieces)), 1
+        if len(pieces) > 1:
+            for k, piece in enumerate(pieces):
+                yield k, plain(piece), 16
 
     first = {}
-    for (i, _), units in documents.items():
-        for unit in units:
-            first[plain(unit)] = min(first.get(plain(unit), 10**20), rank.get(i, i))
+    for (i, _), lines in documents.items():
+        for pieces in lines:
+            for _, key, least in units(pieces):
+                if len(key) >= least:
+                    first[key] = min(first.get(key, 10**20), rank.get(i, i))
     out = []
     for i, text in rows:
         seen, kept, removed, runs, last = set(), [], 0, 0, False
-        for unit in documents[i, text or ""]:
-            key = plain(unit)
-            gone = key is not None and (key in seen or first[key] < rank.get(i, i))
-            seen.add(key)
-            runs += gone and not last
-            last = gone
-            removed += len(unit) * gone
-            kept += [] if gone else [unit]
+        for pieces in documents[i, text or ""]:
+            gone = set()
+            for k, key, least in units(pieces):
+                if len(key) >= least:
+                    if key in seen or first[key] < rank.get(i, i):
+                        gone |= set(range(len(pieces))) if k is None else {k}
+                    seen.add(key)
+            for k, piece in enumerate(pieces):
+                runs += k in gone and not last
+                last = k in gone
+                removed += len(piece) * last
+                kept += [] if last else [piece]
         digest = hashlib.sha256("".join(kept).encode()).hexdigest()
         out.append((i, len(text or ""), removed, runs, digest))
     return out
@@ -57,7 +73,27 @@ def test_texts_are_cut(documents):
 
 def test_offsets_are_those_of_the_text():
     text = "One two three four. Zwei wörter\nfive six seven eight"
-    assert [(b, e) for b, e, _ in line_dedup.units(text)] == [(0, 20), (32, 52)]
+    assert [(b, e) for b, e, _ in line_dedup.units(text)] == [(0, 32), (0, 20), (32, 52)]
+
+
+def test_short_lines_and_text_without_spaces(frame):
+    """A menu, a line of Chinese, and short sentences of a line: the first two go."""
+    one = "Menu\nHome\n我喜欢在公园里散步\nYes. No. A sentence of its own here. End"
+    two = "Start\nMenu\n我喜欢在公园里散步\nNo. Yes. A sentence of its own here. Stop\n\nHome"
+    docs = frame("doc_id long, text string", (1, one), (2, two))
+    left = {row.doc_id: row.text for row in line_dedup.without_repeated_units(docs).collect()}
+    assert left == {1: one, 2: "Start\nNo. Yes. Stop\n\n"}
+    found = line_dedup.deduplicated_units(docs).collect()
+    assert same(map(tuple, found), brute([(1, one), (2, two)]))
+
+
+def test_query_and_its_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    expected = connection.execute(line_dedup.OP8_SQL).fetchall()
+    assert same(map(tuple, line_dedup.op8_line_dedup(spark, SF).collect()), expected)
+    table = connection.execute("SELECT doc_id, text FROM documents").fetchall()
+    assert same(brute(table), expected)
 
 
 def test_empty(empty):
