@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from feira.llm.common import byte_texts, read_documents, ship, sliced
 
 # The classifier is fitted on a sample: so many labelled rows of each class at most, and of
-# each so many bytes. Half of them build the dictionaries, the others fit the curve.
+# each so many bytes, in chunks from all over a longer text. Half of the rows build the
+# dictionaries, the others fit the curve.
 TRAIN_ROWS = 2_000
 TRAIN_BYTES = 1 << 15
 DICTIONARY_BYTES = 1 << 15
@@ -132,6 +133,20 @@ def fit(rows: list[tuple[int, int, bytes]], counts: dict[int, int]) -> Model:
     return model
 
 
+def _spread(text: Column) -> Column:
+    """The bytes of a text; of one longer than ``TRAIN_BYTES`` chunks at even distances, the
+    first at its beginning and the last at its end."""
+    count = TRAIN_BYTES // CHUNK
+    size = F.octet_length(text)
+    begins = F.transform(
+        F.sequence(F.lit(0), F.lit(count - 1)),
+        lambda i: F.floor(i * (size - CHUNK).cast("double") / (count - 1)).cast("int") + 1,
+    )
+    chunks = F.transform(begins, lambda begin: F.substring(text, begin, F.lit(CHUNK)))
+    joined = F.aggregate(chunks, F.lit(b""), lambda done, chunk: F.concat(done, chunk))
+    return F.when(size <= TRAIN_BYTES, text).otherwise(joined)
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame
 ) -> tuple[list[tuple[int, int, bytes]], dict[int, int]]:
@@ -149,7 +164,7 @@ def training_rows(
     sample = classes[0].union(classes[1])
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     joined = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.substring(text, 1, TRAIN_BYTES).alias("data")
+        F.col("doc_id").cast("long").alias("doc_id"), _spread(text).alias("data")
     ).join(F.broadcast(sample), "doc_id")
     # one text for each sampled label, so at most 2 * TRAIN_ROWS rows come here
     rows = joined.groupBy("doc_id", "quality").agg(F.min("data"))
