@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feira import schemas
+from feira.sources import quoted_lines
 from feira.sources.sinks import write_parquet
 
 # A file belongs to the first of these keywords found in its name, in
@@ -25,9 +26,9 @@ ROUTES = [
 ]
 UNROUTED = "misc"
 
-# Free text holds line breaks inside quotes. Reading across lines makes a file one
-# unsplittable task, so the other entities are read line by line in parallel unless the
-# caller asks for more; a record that goes on in the next line is then malformed.
+# Free text holds line breaks inside quotes. Reading across lines takes a pass of its own to
+# tell where records begin, so the other entities are read line by line unless the caller
+# asks for more; a record that goes on in the next line is then malformed.
 WITH_FREE_TEXT = {"order_reviews"}
 REJECTS = "_rejects"
 _MALFORMED = "_malformed_record"
@@ -51,7 +52,8 @@ def read_csv(
     """CSV files of one header as text columns, and the record where it is malformed.
 
     An empty field is null, and so is a pair of quotes unless ``keep_empty`` tells the
-    empty text from null, as ``sinks.export_csv`` writes them.
+    empty text from null, as ``sinks.export_csv`` writes them. Files are split into parts
+    that are read in parallel, also where records cross lines (``quoted_lines``).
     """
     files = [paths] if isinstance(paths, str) else list(paths)
     options = {
@@ -66,9 +68,19 @@ def read_csv(
     if keep_empty:
         options["nullValue"] = _NO_TEXT
     names = spark.read.options(**options).csv(files).columns
+    options["columnNameOfCorruptRecord"] = _MALFORMED
+    if multi_line:
+        return _parsed(quoted_lines.records(spark, files), names, options)
     schema = StructType([StructField(name, StringType()) for name in [*names, _MALFORMED]])
-    reader = spark.read.options(columnNameOfCorruptRecord=_MALFORMED, **options)
-    return reader.schema(schema).csv(files)
+    return spark.read.options(**options).schema(schema).csv(files)
+
+
+def _parsed(text: DataFrame, names: Sequence[str], options: Mapping[str, object]) -> DataFrame:
+    """The fields of records (column ``record``), each of which may hold line breaks."""
+    quoted = ["`" + name.replace("`", "``") + "`" for name in [*names, _MALFORMED]]
+    ddl = ", ".join(f"{name} string" for name in quoted)
+    kept = {key: str(value) for key, value in options.items() if key not in ("header", "multiLine")}
+    return text.select(F.from_csv("record", ddl, kept).alias("row")).select("row.*")
 
 
 def _well_formed(text: DataFrame) -> Column:
@@ -123,8 +135,9 @@ def rejects(
         return found
     files = [paths] if isinstance(paths, str) else list(paths)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    open_ended = spark.read.text(files).where(quotes % 2 == 1)
-    return found.union(open_ended.select(F.col("value").alias("record"))).distinct()
+    open_ended = spark.read.text(files).where(quotes % 2 == 1).select(F.col("value").alias("record"))
+    # a line that the parser reports it reports each time, so repeats are counted as they are
+    return found.union(open_ended.join(found, "record", "left_anti"))
 
 
 def read_unknown_export(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,158 @@
+"""CSV records that cross lines, against Spark's own reader, which reads a file in one task."""
+
+import csv
+import io
+import random
+
+import pytest
+from pyspark.sql.types import StringType, StructField, StructType
+from tests.conftest import rows
+
+from feira.sources import exports, quoted_lines
+
+NAMES = ["review_id", "score", "message", "answer"]
+
+
+@pytest.fixture
+def small_parts(conf):
+    """Files are split every few dozen bytes."""
+    conf(files__maxPartitionBytes="64b", files__openCostInBytes="0")
+
+
+def field(rng):
+    pieces = ["a", "bc", " ", ",", '"', '""', "\n", "\n\n", "x,y", "é字", ",\n", '"\n', "\n,", '","']
+    return "".join(rng.choice(pieces) for _ in range(rng.randrange(7)))
+
+
+def written(records, line_end="\n"):
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator=line_end)
+    writer.writerow(NAMES)
+    writer.writerows(records)
+    return out.getvalue()
+
+
+def whole(spark, paths):
+    """Spark's own reading of whole files."""
+    schema = StructType([StructField(name, StringType()) for name in [*NAMES, "_malformed_record"]])
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "enforceSchema": False}
+    options |= {"columnPruning": False, "columnNameOfCorruptRecord": "_malformed_record"}
+    return spark.read.options(**options).schema(schema).csv(paths)
+
+
+def put(folder, name, text):
+    path = folder / name
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_reading_whole_files(spark, tmp_path, small_parts, seed):
+    rng = random.Random(seed)
+    paths = []
+    for i in range(3):
+        records = [[f"r{i}_{k}", rng.choice("12345"), field(rng), field(rng)] for k in range(60)]
+        paths.append(put(tmp_path, f"reviews_{i}.csv", written(records)))
+    found = exports.read_csv(spark, paths, multi_line=True)
+    assert spark.read.text(paths, lineSep="\n").rdd.getNumPartitions() > 20
+    expected = rows(whole(spark, paths))
+    assert len(expected) == 180
+    assert rows(found) == expected
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        # quotes inside a field that is not quoted open nothing
+        'a,1,5" wide,x\nb,2,say "hi",y\nc,3,"q",z\n',
+        # signs behind a closing quote, and a quoted field that ends in doubled quotes
+        'a,1,"q"rest,x\nb,2,"q""",y\nc,3,"""q\n""",z\n',
+        # a line of a text that looks like a record, and like a quoted field
+        'a,1,"one\nb,2,two,x\n",y\nc,3,"\n,""d"",",z\n',
+        # empty lines between and inside records; too few and too many fields
+        '\na,1,x,y\n\nb,2,"x\n\ny",z\n\n\nc,3\nd,4,x,y,z\n',
+        # no line feed at the end
+        'a,1,x,"y\nz"',
+        # an empty field, an empty pair of quotes, only separators
+        'a,,"",x\n,,,\n"","","",""\n',
+        "",
+    ],
+)
+def test_single_cases(spark, tmp_path, small_parts, text):
+    path = put(tmp_path, "r.csv", ",".join(NAMES) + "\n" + text)
+    assert rows(exports.read_csv(spark, path, multi_line=True)) == rows(whole(spark, path))
+
+
+def test_carriage_returns_go_with_the_lines(spark, tmp_path, small_parts):
+    records = [["a", "1", "one\r\ntwo", "x"], ["b", "2", "", "y"], ["c", "3", "z" * 90, "q"]]
+    path = put(tmp_path, "r.csv", written(records, "\r\n"))
+    found = rows(exports.read_csv(spark, path, multi_line=True))
+    assert found == rows(whole(spark, path))
+    assert ("a", "1", "one\ntwo", "x", None) in found
+
+
+def test_a_record_over_many_parts(spark, tmp_path, small_parts):
+    long = "\n".join(f'line {i} "quoted" , and more' for i in range(200))
+    path = put(tmp_path, "r.csv", written([["a", "1", long, "x"], ["b", "2", "y", long], ["c", "3", "", ""]]))
+    found = exports.read_csv(spark, path, multi_line=True)
+    assert rows(found) == rows(whole(spark, path))
+    assert found.where("message = '" + long.replace("\n", "\\n") + "'").count() == 1
+
+
+def test_many_tasks_and_no_lines_on_the_driver(spark, tmp_path, small_parts):
+    records = [[f"r{k}", "1", f"first {k}\nsecond", "x"] for k in range(500)]
+    path = put(tmp_path, "r.csv", written(records))
+    text = quoted_lines.lines(spark, [path])
+    ranges, headers = quoted_lines.scan(text)
+    assert len(ranges) > 100 and headers == {b"review_id,score,message,answer"}
+    assert any(r.starts_inside for r in ranges.values()) and not all(r.starts_inside for r in ranges.values())
+    found = exports.read_csv(spark, path, multi_line=True)
+    tasks = found.selectExpr("spark_partition_id() AS task").distinct().count()
+    assert tasks > 20
+
+
+def test_a_repeated_header_is_a_record(spark, tmp_path, small_parts):
+    path = put(tmp_path, "r.csv", written([NAMES, ["a", "1", "x", "y"], NAMES]))
+    assert rows(exports.read_csv(spark, path, multi_line=True)) == rows(whole(spark, path))
+
+
+def test_files_must_share_a_header(spark, tmp_path):
+    paths = [put(tmp_path, "a.csv", written([])), put(tmp_path, "b.csv", "review_id,score\n")]
+    with pytest.raises(ValueError, match="header"):
+        exports.read_csv(spark, paths, multi_line=True)
+
+
+def test_parts_that_change_between_the_passes_are_an_error(spark, tmp_path, conf, small_parts):
+    path = put(tmp_path, "r.csv", written([["a", "1", "x" * 50, "y"]] * 20))
+    found = exports.read_csv(spark, path, multi_line=True)
+    conf(files__maxPartitionBytes="48b")
+    with pytest.raises(Exception, match="changed between two passes"):
+        found.collect()
+
+
+def test_equal_rejects_are_counted_each(spark, tmp_path):
+    text = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + 's1,1\ns1,1\ns2,1,rio,"R\ns2,1,rio,"R\n'
+    path = put(tmp_path, "sellers.csv", text)
+    found = rows(exports.rejects(spark, path, "sellers"))
+    assert found == [("s1,1",)] * 2 + [('s2,1,rio,"R',)] * 2
+
+
+@pytest.mark.parametrize("starts_inside", [False, True])
+def test_end_of_a_line(starts_inside):
+    """Against a reading sign by sign."""
+    rng = random.Random(1)
+    for _ in range(5000):
+        line = "".join(rng.choice('a",') for _ in range(rng.randrange(9)))
+        inside, at_start, i = starts_inside, True, 0
+        while i < len(line):
+            if inside and line[i] == '"':
+                if line[i + 1 : i + 2] == '"':
+                    i += 1
+                else:
+                    inside, at_start = False, False
+            elif not inside:
+                if line[i] == '"' and at_start:
+                    inside = True
+                at_start = line[i] == ","
+            i += 1
+        assert quoted_lines.ends_inside(line.encode(), starts_inside) == inside, line
