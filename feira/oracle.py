@@ -347,6 +347,46 @@ def _orphans() -> str:
     )
 
 
+def _audit_rules() -> str:
+    """Each rule on its own, in the order in which rows meet them."""
+    first_customers = _first_per_key(
+        "(SELECT * FROM raw_customers WHERE customer_id IS NOT NULL)",
+        "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
+    )
+    first_products = _first_per_key("raw_products", "product_id", "category", *_MEASURES)
+    first_places = _first_per_key("on_globe", "geolocation_zip_code_prefix", "city", "state")
+    keyed = "(SELECT * FROM valid_orders WHERE order_id IS NOT NULL)"
+    copies = "count(*) - count(DISTINCT coalesce({0}, '(none)')) FROM {1}"
+    rules = [
+        ("customers", "no_key", "count(*) FROM raw_customers WHERE customer_id IS NULL"),
+        ("customers", "copy", "count(customer_id) - count(DISTINCT customer_id) FROM raw_customers"),
+        ("customers", "empty_city",
+         f"count(*) FROM ({first_customers}) WHERE coalesce({_clean('customer_city')}, '') = ''"),
+        ("orders", "stages_out_of_order",
+         f"count(*) FROM raw_orders WHERE NOT coalesce({_CHRONOLOGY}, false)"),
+        ("orders", "no_key", "count(*) FROM valid_orders WHERE order_id IS NULL"),
+        ("orders", "copy", f"count(*) - count(DISTINCT order_id) FROM {keyed}"),
+        ("products", "copy", copies.format("product_id", "raw_products")),
+        ("products", "negative_measure", f"count(*) FROM ({first_products}) WHERE NOT ({_MEASURES_VALID})"),
+        ("sellers", "copy", copies.format("seller_id", "raw_sellers")),
+        ("order_items", "negative_amount",
+         "count(*) FROM raw_items WHERE NOT coalesce(price >= 0 AND freight_value >= 0, false)"),
+        ("order_reviews", "score_out_of_range",
+         "count(*) FROM raw_reviews WHERE NOT coalesce(review_score >= 1 AND review_score <= 5, false)"),
+        ("order_payments", "copy", "(SELECT count(*) FROM raw_payments) - (SELECT count(*) FROM s_payments)"),
+        ("geolocation", "off_the_globe",
+         "(SELECT count(*) FROM raw_geolocation) - (SELECT count(*) FROM on_globe)"),
+        ("geolocation", "copy", "count(*) - count(DISTINCT geolocation_zip_code_prefix) FROM on_globe"),
+        ("geolocation", "empty_city",
+         f"count(*) FROM ({first_places}) WHERE coalesce({_clean('city')}, '') = ''"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, CAST(n AS BIGINT) AS rows_dropped "
+        f"FROM (SELECT {count.replace(' FROM', ' AS n FROM', 1) if not count.startswith('(') else f'{count} AS n'})"
+        for table, rule, count in rules
+    )
+
+
 _SHIPPING_COLUMNS = """shipping_key, f.customer_key, product_key, f.seller_key, date_key,
     delivery_lead_time, estimated_delivery_error, is_late"""
 _LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_shipdate"
@@ -453,6 +493,7 @@ _QUERIES = {
         SELECT *, true AS in_range, true AS is_nearest, true AS centres_in_order FROM rfm""",
     "audit_counts": _audit(),
     "orphan_audit": _orphans(),
+    "audit_rules": _audit_rules(),
 }
 
 

@@ -3,7 +3,7 @@
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.sources.working import store
@@ -50,16 +50,52 @@ def rfm_totals(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> Data
     )
 
 
-def rfm_features(totals: DataFrame) -> DataFrame:
-    """Recency in days, counted from the day after the newest sale of all; null becomes 0.
+def _state(totals: DataFrame) -> Column:
+    """What all rows together say: the newest day, and each feature's mean and deviation.
 
-    The newest day is a scalar subquery, so ``totals`` is read twice: a run stores it first.
+    One aggregate of states that are merged, so each task sends one row. It reads every
+    column of the totals, as the rows themselves do: both then start from the same shuffle,
+    which Spark runs once, and the sales are read once. A subquery that asked for less would
+    be planned, and run, from the sales on.
     """
-    newest = totals.agg(F.max("last_day")).scalar()
-    recency = F.datediff(F.date_add(newest, 1), "last_day")
+    features = [F.unix_date("last_day"), F.col("Frequency"), F.coalesce("Monetary", F.lit(0))]
+    moments = []
+    for name, value in zip(FEATURES, features, strict=True):
+        number = value.cast("double")
+        moments += [F.avg(number).alias(f"{name}_mean"), F.stddev_samp(number).alias(f"{name}_std")]
+    # the person is looked at as well, as it is one of the columns
+    persons = F.count(F.struct(*PERSON)).alias("n")
+    state = F.struct(F.max("last_day").alias("newest"), persons, *moments)
+    return totals.agg(state.alias("state")).scalar()
+
+
+def rfm_features(totals: DataFrame) -> DataFrame:
+    """Recency in days, counted from the day after the newest sale of all; null becomes 0."""
+    recency = F.datediff(F.date_add(_state(totals)["newest"], 1), "last_day")
     return totals.select(*PERSON, recency.alias("Recency"), "Frequency", "Monetary").fillna(0)
 
 
+def rfm_scaled(totals: DataFrame) -> DataFrame:
+    """Each feature of ``rfm_features`` less its mean, over its sample standard deviation, as
+    ``Recency_z`` and so on; 0 where all persons have the same value, or there is only one.
+
+    Recency falls as the last day rises, by the same steps, so its mean and deviation come from
+    the days themselves and nothing has to be known before the one aggregate.
+    """
+    state = _state(totals)
+    monetary = F.coalesce("Monetary", F.lit(0))
+    less_mean = {
+        "Recency": state["Recency_mean"] - F.unix_date("last_day"),
+        "Frequency": F.col("Frequency") - state["Frequency_mean"],
+        "Monetary": monetary.cast("double") - state["Monetary_mean"],
+    }
+    scaled = [
+        F.when(state[f"{name}_std"] > 0, difference / state[f"{name}_std"]).otherwise(0.0).alias(f"{name}_z")
+        for name, difference in less_mean.items()
+    ]
+    return totals.select(*PERSON, *scaled)
+
+
 def with_vector(features: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="raw_vector").transform(features)
 
@@ -112,6 +148,8 @@ def fit_segments(
     centres = model.clusterCenters()
     by_value = sorted(range(len(centres)), key=lambda i: tuple(centres[i][::-1]))
     number = F.array(*[F.lit(by_value.index(i)) for i in range(len(centres))])
+    if folder is not None:
+        kept.unpersist()
     clustered = model.transform(scaled).select(
         *features.columns, "vector", number[F.col("_raw_cluster")].cast("int").alias("Cluster")
     )
@@ -129,13 +167,13 @@ def segment(
     return fit_segments(features, k, seed, partitions, folder)[0].drop("vector")
 
 
-def checked_segments(features: DataFrame) -> DataFrame:
+def checked_segments(features: DataFrame, folder: str | None = None) -> DataFrame:
     """The features with what must hold of their clusters, as computed from a fit.
 
     The cluster has one of the numbers, its centre is the nearest one, and the centres
     are in the order of their monetary value.
     """
-    clustered, centres = fit_segments(features)
+    clustered, centres = fit_segments(features, folder=folder)
     ordered = all(a[-1] <= b[-1] for a, b in zip(centres, centres[1:], strict=False))
     place = vector_to_array("vector")
     distances = F.array(

@@ -12,7 +12,7 @@ from feira.functions import (
     timestamp_or_null,
     within,
 )
-from feira.operators import keep_first, translate_or_keep
+from feira.operators import dropped_by_rule, keep_first, translate_or_keep
 
 # The stages an order passes through, in the order they must happen.
 ORDER_STAGES = [
@@ -111,3 +111,68 @@ def geolocation(bronze: DataFrame) -> DataFrame:
         F.col("place.geolocation_state").alias("geolocation_state"),
     )
     return cleaned.filter(F.col("geolocation_city") != "")
+
+
+# --- audit ------------------------------------------------------------------------
+
+
+def dropped_customers(bronze: DataFrame) -> DataFrame:
+    return dropped_by_rule(
+        bronze,
+        {"no_key": F.col("customer_id").isNotNull()},
+        ["customer_id"],
+        later_rules={"empty_city": clean_city("customer_city") != ""},
+    )
+
+
+def dropped_orders(bronze: DataFrame) -> DataFrame:
+    typed = _with_timestamps(bronze, *ORDER_STAGES, ESTIMATE)
+    rules = {"stages_out_of_order": non_decreasing(*ORDER_STAGES), "no_key": F.col("order_id").isNotNull()}
+    return dropped_by_rule(typed, rules, ["order_id"])
+
+
+def dropped_products(bronze: DataFrame) -> DataFrame:
+    respelled = bronze.withColumnsRenamed(RESPELLED)
+    typed = respelled.withColumns({name: int_or_null(name) for name in PRODUCT_COUNTS})
+    valid = non_negative_or_null(*PRODUCT_COUNTS, *PRODUCT_SIZES)
+    return dropped_by_rule(typed, {}, ["product_id"], later_rules={"negative_measure": valid})
+
+
+def dropped_sellers(bronze: DataFrame) -> DataFrame:
+    return dropped_by_rule(bronze, {}, ["seller_id"])
+
+
+def dropped_order_items(bronze: DataFrame) -> DataFrame:
+    return dropped_by_rule(bronze, {"negative_amount": non_negative("price", "freight_value")})
+
+
+def dropped_order_reviews(bronze: DataFrame) -> DataFrame:
+    return dropped_by_rule(bronze, {"score_out_of_range": within("review_score", 1, 5)})
+
+
+def dropped_order_payments(bronze: DataFrame) -> DataFrame:
+    return dropped_by_rule(bronze, {}, bronze.columns)
+
+
+def dropped_geolocation(bronze: DataFrame) -> DataFrame:
+    """Points that share a zip prefix become one row: all but one of them count as copies."""
+    on_globe = within("geolocation_lat", -90, 90) & within("geolocation_lng", -180, 180)
+    return dropped_by_rule(
+        bronze,
+        {"off_the_globe": on_globe},
+        ["geolocation_zip_code_prefix"],
+        ["geolocation_city", "geolocation_state"],
+        {"empty_city": clean_city("geolocation_city") != ""},
+    )
+
+
+DROPPED = {
+    "customers": dropped_customers,
+    "orders": dropped_orders,
+    "products": dropped_products,
+    "sellers": dropped_sellers,
+    "order_items": dropped_order_items,
+    "order_reviews": dropped_order_reviews,
+    "order_payments": dropped_order_payments,
+    "geolocation": dropped_geolocation,
+}

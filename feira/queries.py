@@ -21,10 +21,11 @@ from feira.functions import (
     surrogate_key,
     timestamp_or_null,
 )
-from feira.operators import assign_nearest, keep_first, orphans, row_audit
+from feira.operators import assign_nearest, keep_first, orphans, row_audit, rule_audit
 from feira.plans import gold, segments, silver
 from feira.sources import calendar
 from feira.sources.market import Market
+from feira.sources.working import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,13 +110,15 @@ class _Tables:
             self.order_items(), header, self.dim_products(), self.dim_sellers(), places
         )
 
-    def rfm(self):
-        totals = segments.rfm_totals(
+    def rfm_totals(self):
+        return segments.rfm_totals(
             gold.fact_sales(self.lines(paid=True)),
             gold.dim_date(self.spark, FIRST_DAY, LAST_DAY),
             self.dim_customers(),
         )
-        return segments.rfm_features(totals)
+
+    def rfm(self):
+        return segments.rfm_features(self.rfm_totals())
 
 
 def filter_chronology(t: _Tables) -> DataFrame:
@@ -205,12 +208,12 @@ def silver_geolocation(t: _Tables) -> DataFrame:
 
 
 def rfm_scaled(t: _Tables) -> DataFrame:
-    scaled = segments.scaled_columns(t.rfm())
+    scaled = segments.rfm_scaled(t.rfm_totals())
     return scaled.withColumns({f"{name}_z": F.round(f"{name}_z", 6) for name in segments.FEATURES})
 
 
 def rfm_assign_fixed(t: _Tables) -> DataFrame:
-    scaled = segments.scaled_columns(t.rfm())
+    scaled = segments.rfm_scaled(t.rfm_totals())
     columns = [f"{name}_z" for name in segments.FEATURES]
     return assign_nearest(scaled, columns, CENTRES).select(*segments.PERSON, "Cluster")
 
@@ -243,6 +246,11 @@ def orphan_audit(t: _Tables) -> DataFrame:
     )
 
 
+def audit_rules(t: _Tables) -> DataFrame:
+    """A6 by reason: which rule drops how many rows of each table."""
+    return rule_audit({name: count(getattr(t.raw, name)()) for name, count in silver.DROPPED.items()})
+
+
 _BUILDERS: dict[str, Callable[[_Tables], DataFrame]] = {
     "silver_customers": _Tables.customers,
     "silver_orders": _Tables.orders,
@@ -275,9 +283,10 @@ _BUILDERS: dict[str, Callable[[_Tables], DataFrame]] = {
     "rfm_features": _Tables.rfm,
     "rfm_scaled": rfm_scaled,
     "rfm_assign_fixed": rfm_assign_fixed,
-    "rfm_segments": lambda t: segments.checked_segments(t.rfm()),
+    "rfm_segments": lambda t: segments.checked_segments(t.rfm(), new_folder(t.spark)),
     "audit_counts": audit_counts,
     "orphan_audit": orphan_audit,
+    "audit_rules": audit_rules,
 }
 
 

@@ -13,19 +13,23 @@ from pyspark.sql import functions as F
 
 
 def _with_copies(df: DataFrame, *copies: tuple[Column, dict[str, Column]]) -> DataFrame:
-    """Every row, and for each (condition, changes) that it meets a changed copy of it."""
-    types = {field.name: field.dataType for field in df.schema}
-
-    def row(changes: dict[str, Column]) -> Column:
-        return F.struct(
-            *[
-                changes.get(name, F.col(name)).cast(kind).alias(name)
-                for name, kind in types.items()
-            ]
-        )
-
-    rows = [row({}), *[F.when(condition, row(changes)) for condition, changes in copies]]
-    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("row")).select("row.*")
+    """Every row, and for each (condition, changes) that it meets a changed copy of it.
+
+    Rows are multiplied by a short array of the copies' numbers. Which copy a row is decides
+    each column on its own, so columns that are not asked for are never read.
+    """
+    numbers = [F.when(condition, F.lit(k)) for k, (condition, _) in enumerate(copies, 1)]
+    every = F.array_compact(F.array(F.lit(0), *numbers))
+    dealt = df.select("*", F.explode(every).alias("_copy"))
+    columns = []
+    for field in df.schema:
+        value = F.col(field.name)
+        for k, (_, changes) in enumerate(copies, 1):
+            if field.name in changes:
+                changed = changes[field.name].cast(field.dataType)
+                value = F.when(F.col("_copy") == k, changed).otherwise(value)
+        columns.append(value.alias(field.name))
+    return dealt.select(*columns)
 
 
 def _number(key: str, divisor: int, rest: int) -> Column:
