@@ -178,10 +178,19 @@ def order_lines(
     All three facts start from this; a run that builds them all stores it once
     (``feira.plans.layers``).
     """
+    sold = order_items.drop("shipping_limit_date").join(header, "order_id")
+    return known_lines(sold, dim_products, dim_sellers, geolocation)
+
+
+def known_lines(
+    sold: DataFrame,
+    dim_products: DataFrame,
+    dim_sellers: DataFrame,
+    geolocation: DataFrame | None = None,
+) -> DataFrame:
+    """Items that already have their order's header, with what is known of product and seller."""
     return (
-        order_items.drop("shipping_limit_date")
-        .join(header, "order_id")
-        .join(_known(dim_products, "product_id", "product"), "product_id", "left")
+        sold.join(_known(dim_products, "product_id", "product"), "product_id", "left")
         .join(_known(dim_sellers, "seller_id", "seller", geolocation), "seller_id", "left")
     )
 

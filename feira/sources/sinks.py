@@ -3,9 +3,13 @@
 from collections.abc import Mapping
 from urllib.parse import unquote, urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import partitioning
 
 from feira import schemas
+from feira.sources import versions
+from feira.sources.versions import Buckets
 
 SESSION_CATALOG = "spark_catalog"
 ICEBERG_PROPERTIES = {"format-version": "2"}
@@ -76,7 +80,7 @@ def export_csv(df: DataFrame, path: str) -> None:
 def can_replace(spark: SparkSession, table: str) -> bool:
     """Whether the table's catalog is a plug-in one, which can replace tables atomically.
 
-    Spark's built-in session catalog cannot; it can only drop and write again.
+    Spark's built-in session catalog cannot; there, writes go through ``versions``.
     """
     parts = table.split(".")
     catalog = parts[0] if len(parts) > 2 else SESSION_CATALOG
@@ -89,19 +93,27 @@ def write_table(
     table: str,
     table_format: str = "parquet",
     properties: Mapping[str, str] | None = None,
+    buckets: Buckets | None = None,
 ) -> None:
-    """Replace all rows and the schema of a named table.
+    """Replace all rows and the schema of a named table, in buckets if asked for.
 
-    Atomic in a plug-in catalog (Iceberg and the like). In the session catalog the
-    old table is dropped first, so nothing should read it meanwhile.
+    Readers get the old rows until all new ones are there: in a plug-in catalog (Iceberg and
+    the like) by its own means, in the session catalog by a folder for each version and a
+    switch of the table's location (``versions``). A table that ``df`` reads is refused.
     """
-    if can_replace(df.sparkSession, table):
+    spark = df.sparkSession
+    if can_replace(spark, table):
         writer = df.writeTo(table).using(table_format)
         for key, value in (properties or {}).items():
             writer = writer.tableProperty(key, value)
+        if buckets:
+            writer = writer.partitionedBy(*[partitioning.bucket(buckets.count, c) for c in buckets.columns])
         writer.createOrReplace()
-    else:
-        df.write.format(table_format).mode("overwrite").saveAsTable(table)
+        return
+    now = versions.entry(spark, table)
+    if now and now.location and _reads_from(df, now.location):
+        raise AnalysisException(f"{table} is also being read from")
+    versions.replace(df, table, table_format, buckets)
 
 
 def create_tables(

@@ -1,0 +1,91 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from tests.conftest import rows
+
+from feira.operators.curve import along_curve, borders, curve_key
+
+
+def test_ranks_cut_evenly_and_nulls_come_first(spark, frame):
+    rng = random.Random(1)
+    values = [(rng.randrange(1000), rng.choice("abcdefgh"), None if i % 5 == 0 else i) for i in range(640)]
+    df = frame("a int, b string, c int", *values)
+    cuts = borders(df, ["a", "b", "c"], bits=3)
+    assert len(cuts[0]) == len(cuts[2]) == 7 and 5 <= len(cuts[1]) <= 7
+    cells = df.withColumn("key", curve_key(["a"], cuts[:1], 3)).groupBy("key").count().collect()
+    assert {r.key for r in cells} == set(range(8)) and max(r["count"] for r in cells) < 120
+    nulls = df.where("c is null").select(curve_key(["c"], cuts[2:], 3).alias("k")).distinct().collect()
+    assert [r.k for r in nulls] == [0]
+
+
+def test_key_takes_bits_in_turn(frame):
+    df = frame("a int, b int", *[(a, b) for a in range(4) for b in range(4)])
+    found = df.select("a", "b", curve_key(["a", "b"], [[1, 2, 3], [1, 2, 3]], 2).alias("key")).collect()
+    for row in found:
+        bits = [row.a >> 1 & 1, row.b >> 1 & 1, row.a & 1, row.b & 1]
+        assert row.key == int("".join(map(str, bits)), 2)
+    assert sorted(r.key for r in found) == list(range(16))
+
+
+@pytest.fixture
+def laid(spark, conf, tmp_path):
+    """The same rows in 64 files, in the order of the columns and along the curve."""
+    conf(adaptive__coalescePartitions__enabled="false", shuffle__partitions="64")
+    columns = ["day", "customer", "seller"]
+    df = spark.range(40_000).select(
+        (F.xxhash64("id", F.lit(1)) % 365).alias("day"),
+        F.sha2((F.xxhash64("id", F.lit(2)) % 5000).cast("string"), 256).alias("customer"),
+        # a third of all rows belong to one seller
+        F.when(F.col("id") % 3 == 0, F.sha2(F.lit("hot"), 256))
+        .otherwise(F.sha2((F.xxhash64("id", F.lit(3)) % 300).cast("string"), 256))
+        .alias("seller"),
+        "id",
+    )
+    df.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    stored.repartitionByRange(*columns).sortWithinPartitions(*columns).write.parquet(str(tmp_path / "plain"))
+    along_curve(stored, *columns).write.parquet(str(tmp_path / "curve"))
+    return {name: spark.read.parquet(str(tmp_path / name)) for name in ("rows", "plain", "curve")}
+
+
+def scanned(df):
+    """Rows that the scan hands on: those of row groups whose statistics let them pass."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    pending = [plan]
+    while pending:
+        node = pending.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            return node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        pending += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            pending.append(node.executedPlan())
+        if node.nodeName().startswith(("ShuffleQueryStage", "WholeStage")):
+            pending.append(node.children().apply(0) if node.children().size() else node.plan())
+
+
+def test_filters_on_each_column_skip_files(laid):
+    total = 40_000
+    assert rows(laid["curve"]) == rows(laid["rows"])
+    assert len(laid["curve"].inputFiles()) > 50
+    day = laid["rows"].first().day
+    seller = laid["rows"].where("id = 4").first().seller
+    customer = laid["rows"].where("id = 5").first().customer
+    for name, value in [("day", day), ("seller", seller), ("customer", customer)]:
+        wanted = F.col(name) == value
+        assert laid["curve"].where(wanted).count() == laid["rows"].where(wanted).count() > 0
+        assert scanned(laid["curve"].where(wanted)) < total / 3, name
+    # in the order of the columns, only the first helps
+    assert scanned(laid["plain"].where(F.col("day") == day)) < total / 3
+    assert scanned(laid["plain"].where(F.col("seller") == seller)) > total / 3
+    sizes = laid["curve"].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert sizes < total / 10, "the hot seller's rows are split by the other columns"
+
+
+def test_nothing_and_one_row(frame):
+    df = frame("a int, b string")
+    assert along_curve(df, "a", "b").collect() == []
+    one = frame("a int, b string", (None, "x"))
+    assert rows(along_curve(one, "a", "b")) == [(None, "x")]
