@@ -16,12 +16,12 @@ import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +32,12 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: how byte-level vocabularies of this kind cut text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# A cut before a space that follows anything but white space never goes through a piece.
-_CUT = re.compile(r"(?<=\S)(?= )")
-_SPACE_AFTER_WHITE = re.compile(r"\s ")
-
 _SIGNS = frozenset(".,;:!?")
 
-# Remembered results per generation (there are two); ids handled at once when decoding.
+# Remembered results per generation (there are two), none of a word with more characters than
+# LONGEST_KEPT; ids handled at once when decoding.
 WORDS_KEPT = 250_000
+LONGEST_KEPT = 64
 IDS_AT_ONCE = 1 << 17
 
 
@@ -54,13 +52,49 @@ class Remembered(dict):
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[key] = found
+        if not isinstance(key, str | bytes) or len(key) <= LONGEST_KEPT:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
         return found
 
 
+def _ranges(numbers: np.ndarray) -> str:
+    """A set of code points as the inside of a character class."""
+    ends = np.flatnonzero(np.diff(numbers) != 1)
+    starts = numbers[np.concatenate([[0], ends + 1])]
+    stops = numbers[np.concatenate([ends, [len(numbers) - 1]])]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), stops.tolist(), strict=True))
+
+
+@cache
+def character_classes() -> tuple[str, str, str]:
+    """Letters, numbers and white space, as the tokenizers library has them.
+
+    Which characters these are depends on the version of Unicode that a program was built with.
+    So the library's own cutter is asked: a character behind a letter, a digit or a sign is in
+    one piece with it if it is of the same kind. White space is what goes with none of them.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cutter = ByteLevel(add_prefix_space=False, use_regex=True)
+    found: dict[str, list[int]] = {"a": [], "1": [], "!": [], "": []}
+    # ranges are halved until all of a range goes with one sign, in one piece
+    pending = [(i, i + 2048) for i in range(0, 0x110000, 2048) if not 0xD800 <= i < 0xE000]
+    while pending:
+        begin, end = pending.pop()
+        together = "".join(map(chr, range(begin, end)))
+        kind = next((sign for sign in "a1!" if len(cutter.pre_tokenize_str(sign + together)) == 1), "")
+        if kind or end - begin == 1:
+            found[kind] += range(begin, end)
+        else:
+            middle = (begin + end) // 2
+            pending += [(begin, middle), (middle, end)]
+    letter, number, white = (_ranges(np.array(sorted(found[kind]))) for kind in ("a", "1", ""))
+    return letter, number, white
+
+
 class Table:
     """Byte strings by number, in one array with offsets."""
 
@@ -98,6 +132,7 @@ class Bpe:
 
     def __init__(self, tokens: dict[int, bytes], merges: list[tuple[int, int, int]], special: dict[str, int]):
         self.tokens, self.merges, self.special = tokens, merges, special
+        self.classes = character_classes()
         self._made = False
 
     @classmethod
@@ -121,7 +156,8 @@ class Bpe:
         return cls(tokens | {i: text.encode() for text, i in special.items()}, merges, special)
 
     def __getstate__(self):
-        return {"tokens": self.tokens, "merges": self.merges, "special": self.special, "_made": False}
+        kept = ("tokens", "merges", "special", "classes")
+        return {name: getattr(self, name) for name in kept} | {"_made": False}
 
     def made(self) -> "Bpe":
         """This vocabulary with its tables."""
@@ -147,8 +183,19 @@ class Bpe:
         self.backward.make_automaton()
         self.by_id = Table([self.tokens.get(i, b"") for i in range(size)])
         self.decimals = Table([b"%d," % i for i in range(size)])
-        self.pattern = regex.compile(PIECES)
-        self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        letter, number, white = self.classes
+        spelled = {r"[^\s\p{L}\p{N}]": f"[^{white}{letter}{number}]", r"\p{L}": f"[{letter}]"}
+        spelled |= {r"\p{N}": f"[{number}]", r"\S": f"[^{white}]", r"\s": f"[{white}]"}
+        pieces = PIECES
+        for short, long in spelled.items():
+            pieces = pieces.replace(short, long)
+        self.pattern = re.compile(pieces)
+        self.letters = re.compile(f"[{letter}]+")
+        # a cut before a space that follows anything but white space never goes through a piece
+        self.cut = re.compile(f"(?<=[^{white}])(?= )")
+        self.space_after_white = re.compile(f"[{white}] ")
+        marks = sorted(self.special, key=len, reverse=True)
+        self.marks = re.compile("|".join(map(re.escape, marks))) if marks else None
         self.compatible = Remembered(self._compatible)
         self.piece = Remembered(self._piece)
         self.after_space = Remembered(self._after_space)
@@ -212,16 +259,18 @@ class Bpe:
 
     def _after_space(self, word: str) -> bytes:
         """Ids of a space and ``word``. Letters, and letters with one sign, need no pattern."""
-        if word.isalpha():
+        letters = self.letters.match(word)
+        end = letters.end() if letters else 0
+        if end and end == len(word):
             return array("I", self._ids(" " + word)).tobytes()
-        if word[-1:] in _SIGNS and word[:-1].isalpha():
+        if end and end == len(word) - 1 and word[-1] in _SIGNS:
             return array("I", self._ids(" " + word[:-1]) + self._ids(word[-1])).tobytes()
         return self._chunk(" " + word)
 
     def _plain(self, text: str) -> list[bytes]:
         """Ids of a text without special tokens, as bytes, in parts."""
-        if _SPACE_AFTER_WHITE.search(text):
-            return [self._chunk(chunk) for chunk in _CUT.split(text)]
+        if self.space_after_white.search(text):
+            return [self._chunk(chunk) for chunk in self.cut.split(text)]
         first, *rest = text.split(" ")
         return [self._chunk(first), *map(self.after_space.__getitem__, rest)]
 

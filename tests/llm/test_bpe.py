@@ -94,3 +94,28 @@ def test_joined_parts_of_a_table():
 
 def test_empty(empty):
     assert bpe.round_trip(empty, PATH).collect() == []
+
+
+def test_every_code_point_is_cut_as_the_library_does():
+    """Behind and before a letter, a digit, a sign and a space."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cutter = ByteLevel(add_prefix_space=False, use_regex=True)
+    pattern = bpe.Bpe.from_file(PATH).made().pattern
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for begin in range(0, len(points), 1 << 15):
+        text = "\n".join(f"a{c}b {c}1{c}2!{c}? " for c in map(chr, points[begin : begin + (1 << 15)]))
+        expected = [span for _, span in cutter.pre_tokenize_str(text)]
+        assert [m.span() for m in pattern.finditer(text)] == expected
+
+
+@pytest.mark.parametrize("text", [chr(0x1DF36) + chr(0x69D7), chr(0x19148) + chr(0x8082), "a\x1cb \x1c c", "\x85 x\u180e y"])
+def test_newer_characters(text):
+    assert bpe.Bpe.from_file(PATH).made().encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_long_words_are_not_remembered():
+    made = bpe.Bpe.from_file(PATH).made()
+    made.encode(" ".join("x" * 60 + str(i) * 10 for i in range(500)))
+    tables = (made.after_space, made.piece)
+    assert max((len(word) for table in tables for word in table), default=0) <= bpe.LONGEST_KEPT
