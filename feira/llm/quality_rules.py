@@ -246,6 +246,10 @@ def _language() -> Column:
     return F.coalesce(F.col("lang").cast("string"), F.lit(""))
 
 
+# What the columns of a reference are called beside columns of any name.
+_REFERENCE = "_feira_ref_"
+
+
 class _Judge:
     """Measures texts and compares them with their language's reference."""
 
@@ -270,7 +274,7 @@ class _Judge:
         for i, lang in enumerate(languages):
             if lang not in known:
                 classes, top, counts, total = (
-                    batch[name][i].as_py() for name in ("ref_classes", "ref_top", "ref_counts", "ref_words")
+                    batch[_REFERENCE + name][i].as_py() for name in ("classes", "top", "counts", "words")
                 )
                 usual = np.array(classes or [0] * len(CLASSES), float)
                 known[lang] = usual, top or [], word_vector(counts or [], total or 0)
@@ -281,7 +285,9 @@ class _Judge:
 
 
 def _with_references(docs: DataFrame, folder: str) -> DataFrame:
-    known = small(references(docs, folder), rows=10_000).withColumnRenamed("lang", "_feira_lang")
+    known = small(references(docs, folder), rows=10_000)
+    reserved = {f"ref_{name}": _REFERENCE + name for name in ("classes", "top", "counts", "words")}
+    known = known.withColumnsRenamed(reserved | {"lang": "_feira_lang"})
     return docs.withColumn("_feira_lang", _language()).join(known, "_feira_lang", "left")
 
 

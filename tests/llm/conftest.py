@@ -5,7 +5,11 @@ import pytest
 SF = "/root/testdata/sf0.001"
 NAMES = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns whose names the operators use themselves.
-CLASHES = "row long, kept boolean, digest string, fp long, size long, block int, word string"
+CLASHES = (
+    "row long, kept boolean, digest string, fp long, size long, block int, word string, "
+    "ref_top string, ref_words long, ref_counts string, ref_classes string, term string, item long, "
+    "shard int, local int, hi long, lo long, next_row long, runs string, n_words long"
+)
 
 
 def sample_rows():
@@ -46,7 +50,7 @@ def rows():
 @pytest.fixture(scope="session")
 def documents(spark, rows):
     """The sample with extra columns of clashing names, in several partitions."""
-    extra = (1, True, "d", 2, 3, 4, "w")
+    extra = (1, True, "d", 2, 3, 4, "w", "r", 5, "r", "r", "t", 6, 7, 8, 9, 10, 11, "r", 12)
     frame = spark.createDataFrame([(*row, *extra) for row in rows], f"{NAMES}, {CLASHES}")
     return frame.repartition(3)
 
