@@ -1,22 +1,27 @@
 """Adaptive context-mixing range coder for token ids.
 
 Ids are cut into blocks. Every block starts with a fresh model and a fresh coder and has its
-own checksums, so each can be read alone. The blocks of a segment are coded side by side: step
-t codes id t of every block, so that all work is on arrays with one entry per block.
+own checksums, so with the segment's head each can be read alone. The blocks of a segment are
+coded side by side: step t codes id t of every block, so that all work is on arrays with one
+entry per block.
 
 Predictions of an id: order 2 (what followed the last two ids), order 1 (what followed the
-last id), order 0 (how often ids of this many bits came). The decision which of them is right
-gets its frequencies from two adaptive tables, one for the block and one for how reliable the
-two predictions have been, mixed with fixed weights. An id that neither prediction has is
-coded by its number of bits, with order-0 frequencies that are renewed at doubling steps, and
-the bits below the highest.
-
-The coder keeps a range of 45 to 60 bits. One id narrows it by the decision (up to 12 bits),
-the number of bits (8) and the lower bits (up to 23), then whole words of 16 bits leave.
-
-The segment's format, little-endian: ``FID1``; u32 blocks; u32 ids per block; u64 ids in all;
-per block u32 words, u32 crc32 of its words, u32 crc32 of its ids as u32; then the words,
-block after block. The last block is filled up with its last id.
+last id), order 0 (how often each id comes). The decision which of them is right gets its
+frequencies from two adaptive tables, one for the block and one for how reliable the first two
+have been, mixed with fixed weights. An id that neither of them has is coded by its order-0
+frequency. Most different ids of a block come once or twice in it, so a block is too short to
+learn these frequencies: they are counted over the segment, stand in its head, and every block
+starts from them. Ids that come less than ``LISTED_FROM`` times are not listed there, but coded
+by a sign of their own and their bits.
+
+The coder keeps a range of 45 to 60 bits. The decision (up to 12 bits) and the frequency (up to
+20) narrow it, then whole words of 16 bits leave; then, if need be, the bits of a rare id.
+
+The segment's format, little-endian: ``FID2``; u32 blocks; u32 ids per block; u64 ids in all;
+u32 listed ids; u8 bits of all frequencies together; u8 bits of a rare id; u32 bytes of the list;
+u32 crc32 of the list; the list (zlib: gaps between ids and their frequencies, as u32); per block
+u32 words, u32 crc32 of its words, u32 crc32 of its ids as u32; then the words, block after
+block. The last block is filled up with its last id.
 """
 
 import struct
@@ -26,14 +31,12 @@ import numpy as np
 
 BLOCK_IDS = 1024
 MOST = 1 << 24
-_MAGIC = b"FID1"
-_HEAD = struct.Struct("<4sIIQ")
+# An id is listed if it comes so often in a segment; at most so many are, the most frequent.
+LISTED_FROM, MOST_LISTED = 3, 1 << 16
+_MAGIC = b"FID2"
+_HEAD = struct.Struct("<4sIIQIBBII")
 _TOP, _LEAST = 60, 1 << 44
 _TABLE_BITS = 9
-# Frequencies of a number of bits add up to this.
-_SHARE_BITS = 8
-_SHARES = 1 << _SHARE_BITS
-_KINDS = MOST.bit_length()
 # Steps after which the decision's frequencies are halved, and what an event adds to its own.
 _HALVE, _STEP = 64, 4
 # One in each of the three fields of 20 bits; all bits of a field but its highest.
@@ -41,6 +44,47 @@ _EACH = 1 | 1 << 20 | 1 << 40
 _HALVES = ((1 << 19) - 1) * _EACH
 
 
+class _Frequencies:
+    """Order 0: how often each listed id comes, as shares of a power of two; number 0 is the sign
+    for an id that is not listed."""
+
+    def __init__(self, listed: np.ndarray, shares: np.ndarray, bits: int, rare_bits: int):
+        self.ids = np.concatenate([[0], listed]).astype(np.int64)
+        self.shares, self.bits, self.rare_bits = shares, bits, rare_bits
+        self.starts = np.cumsum(shares) - shares
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> "_Frequencies":
+        counts = np.bincount(ids)
+        listed = np.flatnonzero(counts >= LISTED_FROM)
+        if len(listed) > MOST_LISTED:
+            order = np.argsort(-counts[listed], kind="stable")
+            listed = np.sort(listed[order[:MOST_LISTED]])
+        weights = np.concatenate([[0], counts[listed]]).astype(np.int64)
+        weights[0] = len(ids) - weights.sum()
+        bits = max(12, len(weights).bit_length() + 3)
+        shares = 1 + weights * ((1 << bits) - len(weights)) // len(ids)
+        shares[weights.argmax()] += (1 << bits) - shares.sum()
+        return cls(listed, shares, bits, max(1, int(ids.max()).bit_length()))
+
+    def numbers_by_id(self, highest: int) -> np.ndarray:
+        numbers = np.zeros(highest + 1, np.int32)
+        numbers[self.ids[1:]] = np.arange(1, len(self.ids))
+        return numbers
+
+    def numbers_by_point(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.shares), dtype=np.int32), self.shares)
+
+    def packed(self) -> bytes:
+        gaps = np.diff(self.ids[1:], prepend=0)
+        return zlib.compress(gaps.astype("<u4").tobytes() + self.shares.astype("<u4").tobytes())
+
+    @classmethod
+    def unpacked(cls, data: bytes, listed: int, bits: int, rare_bits: int) -> "_Frequencies":
+        numbers = np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64)
+        return cls(np.cumsum(numbers[:listed]), numbers[listed:], bits, rare_bits)
+
+
 class _Model:
     """Predictions and frequencies of all blocks.
 
@@ -48,31 +92,15 @@ class _Model:
     decision share one number, 20 bits each, and are added and halved together.
     """
 
-    def __init__(self, lanes: int, reading: bool):
-        self.reading = reading
+    def __init__(self, lanes: int):
         self.lanes = np.arange(lanes)
         self.base = self.lanes << _TABLE_BITS
         self.table = [np.zeros(lanes << _TABLE_BITS, np.int32) for _ in range(2)]
         self.own = np.full(lanes, _EACH, np.int64)
         self.mixed = np.full(lanes << 4, 2 * _EACH, np.int64)
-        self.kinds = np.zeros((lanes, _KINDS), np.int32)
-        self.kind_base = self.lanes * _KINDS
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.steps = 0
-        self._share()
-
-    def _share(self) -> None:
-        """Turn counts of bit numbers into shares: one for each, the rest in proportion."""
-        rest = _SHARES - _KINDS
-        total = np.maximum(self.kinds.sum(axis=1, keepdims=True), 1)
-        shares = 1 + self.kinds * rest // total
-        shares[self.lanes, self.kinds.argmax(axis=1)] += _SHARES - shares.sum(axis=1)
-        starts = np.cumsum(shares, axis=1) - shares
-        self.shares = (starts << 16 | shares).ravel()
-        if self.reading:
-            numbers = np.tile(np.arange(_KINDS, dtype=np.uint8), len(self.lanes))
-            self.kind_at = np.repeat(numbers, shares.ravel())
 
     def predict(self) -> None:
         """Set the guesses and the frequencies of: first is right, second is, neither."""
@@ -92,12 +120,10 @@ class _Model:
         self.middle = self.first + ((both >> 20) & field)
         self.total = self.middle + (both >> 40)
 
-    def learn(self, ids: np.ndarray, decided: np.ndarray, kinds: np.ndarray) -> None:
-        """``kinds``: number of bits of each id; it counts where neither guess was right."""
+    def learn(self, ids: np.ndarray, decided: np.ndarray) -> None:
         event = np.int64(_STEP) << 20 * decided
         self.own += event
         self.mixed[self.context] += event << 1
-        self.kinds.ravel()[self.kind_base + kinds] += decided == 2
         new = ids << 2 | 1
         for i, place in enumerate(self.places):
             entry = self.entries[i]
@@ -109,13 +135,6 @@ class _Model:
         if self.steps % _HALVE == 0:
             for table in (self.own, self.mixed):
                 table -= (table >> 1) & _HALVES
-        if self.steps >= 8 and self.steps & (self.steps - 1) == 0:
-            self._share()
-
-
-def bit_sizes(values: np.ndarray) -> np.ndarray:
-    """Bits up to the highest that is set; exact, as numbers below 2^53 are in doubles."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
 class _Writer:
@@ -178,16 +197,19 @@ class _Writer:
 def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     """A segment of ids from 0 to ``MOST`` - 1."""
     if not len(ids):
-        return _HEAD.pack(_MAGIC, 0, 0, 0)
+        return _HEAD.pack(_MAGIC, 0, 0, 0, 0, 0, 0, 0, 0)
     if int(ids.min()) < 0 or int(ids.max()) >= MOST:
         raise ValueError(f"ids have to be from 0 to {MOST - 1}")
     steps = min(block_ids, len(ids))
     lanes = -(-len(ids) // steps)
-    blocks = np.full(lanes * steps, ids[-1], np.int64)
+    blocks = np.full(lanes * steps, ids[-1], np.int32)
     blocks[: len(ids)] = ids
     blocks = blocks.reshape(lanes, steps)
-    model, writer = _Model(lanes, False), _Writer(lanes, steps)
-    for now in np.ascontiguousarray(blocks.T):
+    order0 = _Frequencies.of(ids)
+    numbers, everything = order0.numbers_by_id(int(ids.max())), 1 << order0.bits
+    model, writer = _Model(lanes), _Writer(lanes, steps)
+    for column in np.ascontiguousarray(blocks.T):
+        now = column.astype(np.int64)
         model.predict()
         first, missed = now == model.guesses[0], now != model.guesses[1]
         missed &= ~first
@@ -196,34 +218,45 @@ def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
         end = np.where(first, model.first, np.where(missed, model.total, model.middle))
         unit = writer.range // model.total
         low, width = writer.low + unit * start, unit * (end - start)
-        kinds = bit_sizes(now)
-        share = np.where(missed, model.shares.take(model.kind_base + kinds), _SHARES)
-        unit = width >> _SHARE_BITS
-        low += unit * (share >> 16)
-        width = unit * (share & 0xFFFF)
-        bits = np.where(missed, np.maximum(kinds - 1, 0), 0)
-        unit = width >> bits
-        low += unit * (now & ((1 << bits) - 1))
-        writer.low, writer.range = low, unit
+        number = numbers.take(now)
+        unit = width >> order0.bits
+        low += unit * np.where(missed, order0.starts.take(number), 0)
+        writer.low = low
+        writer.range = unit * np.where(missed, order0.shares.take(number), everything)
         writer.renew()
-        model.learn(now, decided, kinds)
-    words = writer.finish()
+        rare = np.flatnonzero(missed & (number == 0))
+        if len(rare):
+            unit = writer.range[rare] >> order0.rare_bits
+            writer.low[rare] += unit * now[rare]
+            writer.range[rare] = unit
+            writer.renew()
+        model.learn(now, decided)
+    words, listed = writer.finish(), order0.packed()
+    head = _HEAD.pack(
+        _MAGIC, lanes, steps, len(ids), len(order0.ids) - 1, order0.bits, order0.rare_bits, len(listed), zlib.crc32(listed)
+    )
     heads = [
         struct.pack("<III", len(code) // 2, zlib.crc32(code), zlib.crc32(block.astype("<u4")))
         for code, block in zip(words, blocks, strict=True)
     ]
-    return b"".join([_HEAD.pack(_MAGIC, lanes, steps, len(ids)), *heads, *words])
+    return b"".join([head, listed, *heads, *words])
 
 
 def decode(segment: bytes) -> np.ndarray:
     """The ids of a segment. Raises ValueError if a checksum is wrong."""
-    magic, lanes, steps, total = _HEAD.unpack_from(segment)
+    magic, lanes, steps, total, listed, bits, rare_bits, list_size, list_crc = _HEAD.unpack_from(segment)
     if magic != _MAGIC:
         raise ValueError("not a segment of token ids")
     if not total:
         return np.zeros(0, np.int64)
-    heads = np.frombuffer(segment, "<u4", 3 * lanes, _HEAD.size).reshape(lanes, 3).astype(np.int64)
-    words = np.frombuffer(segment, "<u2", heads[:, 0].sum(), _HEAD.size + 12 * lanes)
+    begin = _HEAD.size + list_size
+    packed = segment[_HEAD.size : begin]
+    if zlib.crc32(packed) != list_crc:
+        raise ValueError("the list of a segment's ids is damaged")
+    order0 = _Frequencies.unpacked(packed, listed, bits, rare_bits)
+    numbers, everything = order0.numbers_by_point(), 1 << bits
+    heads = np.frombuffer(segment, "<u4", 3 * lanes, begin).reshape(lanes, 3).astype(np.int64)
+    words = np.frombuffer(segment, "<u2", heads[:, 0].sum(), begin + 12 * lanes)
     ends = np.cumsum(heads[:, 0])
     for end, (count, crc, _) in zip(ends, heads, strict=True):
         if zlib.crc32(words[end - count : end]) != crc:
@@ -243,8 +276,17 @@ def decode(segment: bytes) -> np.ndarray:
     got = word(everyone)
     code, spare = code << 12 | got >> 4, got & 15
     width = np.full(lanes, 1 << _TOP, np.int64)
-    model, columns = _Model(lanes, True), np.empty((steps, lanes), np.int64)
-    share_base = np.arange(lanes) << _SHARE_BITS
+
+    def refill() -> None:
+        short = np.flatnonzero(width < _LEAST)
+        while len(short):
+            got = word(short)
+            code[short] = code[short] << 16 | spare[short] << 12 | got >> 4
+            spare[short] = got & 15
+            width[short] <<= 16
+            short = short[width[short] < _LEAST]
+
+    model, columns = _Model(lanes), np.empty((steps, lanes), np.int32)
     for step in range(steps):
         model.predict()
         unit = width // model.total
@@ -253,31 +295,25 @@ def decode(segment: bytes) -> np.ndarray:
         decided = np.where(first, 0, 1 + missed)
         start = np.where(first, 0, np.where(missed, model.middle, model.first))
         end = np.where(first, model.first, np.where(missed, model.total, model.middle))
-        code = code - unit * start
-        unit = unit * (end - start) >> _SHARE_BITS
-        point = np.minimum(code // unit, _SHARES - 1)
-        kinds = model.kind_at.take(share_base + point).astype(np.int64)
-        share = np.where(missed, model.shares.take(model.kind_base + kinds), _SHARES)
-        code -= unit * (share >> 16)
-        width = unit * (share & 0xFFFF)
-        bits = np.where(missed, np.maximum(kinds - 1, 0), 0)
-        unit = width >> bits
-        rest = np.minimum(code // unit, (1 << bits) - 1)
-        code -= unit * rest
-        width = unit
-        value = np.where(kinds > 0, (1 << bits) + rest, 0)
-        now = np.where(missed, value, np.where(first, model.guesses[0], model.guesses[1]))
-        short = np.flatnonzero(width < _LEAST)
-        while len(short):
-            got = word(short)
-            code[short] = code[short] << 16 | spare[short] << 12 | got >> 4
-            spare[short] = got & 15
-            width[short] <<= 16
-            short = short[width[short] < _LEAST]
-        model.learn(now, decided, np.where(missed, kinds, 0))
+        code -= unit * start
+        unit = unit * (end - start) >> bits
+        number = numbers.take(np.minimum(code // unit, everything - 1))
+        code -= unit * np.where(missed, order0.starts.take(number), 0)
+        width = unit * np.where(missed, order0.shares.take(number), everything)
+        refill()
+        now = np.where(missed, order0.ids.take(number), np.where(first, model.guesses[0], model.guesses[1]))
+        rare = np.flatnonzero(missed & (number == 0))
+        if len(rare):
+            unit = width[rare] >> rare_bits
+            value = np.minimum(code[rare] // unit, (1 << rare_bits) - 1)
+            code[rare] -= unit * value
+            width[rare] = unit
+            now[rare] = value
+            refill()
+        model.learn(now, decided)
         columns[step] = now
-    blocks = columns.T
+    blocks = np.ascontiguousarray(columns.T)
     for block, (_, _, crc) in zip(blocks, heads, strict=True):
         if zlib.crc32(block.astype("<u4")) != crc:
             raise ValueError("a block of token ids does not give its checksum")
-    return blocks.reshape(-1)[:total]
+    return blocks.reshape(-1)[:total].astype(np.int64)

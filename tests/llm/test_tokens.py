@@ -1,5 +1,6 @@
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -13,6 +14,7 @@ from tests.llm.conftest import SF
 
 PATH = public_tokenizers.path(bpe.VOCABULARY)
 LIBRARY = Tokenizer.from_file(PATH)
+GIVEN = "/root/testdata/sf0.01"
 
 
 @settings(max_examples=60, deadline=None)
@@ -48,6 +50,35 @@ def test_blocks_are_checked():
         idcoder.decode(bytes(segment))
 
 
+def test_the_list_of_ids_is_checked():
+    segment = bytearray(idcoder.encode(np.arange(5000) % 700))
+    segment[idcoder._HEAD.size + 9] ^= 1
+    with pytest.raises(ValueError, match="list"):
+        idcoder.decode(bytes(segment))
+
+
+def test_ids_of_texts_are_packed_better_than_by_zlib():
+    """And than by the frequencies of the ids alone."""
+    ids = []
+    for (text,) in duckdb.sql(f"SELECT text FROM '{GIVEN}/documents.parquet' ORDER BY doc_id").fetchall():
+        ids += LIBRARY.encode(text, add_special_tokens=False).ids + [token_files.END_ID]
+    numbers = np.array(ids)
+    segment = idcoder.encode(numbers)
+    assert (idcoder.decode(segment) == numbers).all()
+    shares = np.bincount(numbers)[np.unique(numbers)] / len(numbers)
+    alone = -(shares * np.log2(shares)).sum() * len(numbers) / 8
+    assert len(segment) < alone
+    assert len(segment) < 0.95 * len(zlib.compress(numbers.astype("<u2").tobytes()))
+
+
+@pytest.mark.parametrize("size", [1, 2, 1023, 1024, 1025, 70_000])
+def test_rare_and_many_different_ids(size, monkeypatch):
+    monkeypatch.setattr(idcoder, "MOST_LISTED", 50)
+    rng = np.random.default_rng(size)
+    numbers = np.where(rng.random(size) < 0.2, rng.integers(0, idcoder.MOST, size), rng.integers(0, 300, size))
+    assert (idcoder.decode(idcoder.encode(numbers)) == numbers).all()
+
+
 def test_ids_out_of_range_are_refused():
     for value in (-1, idcoder.MOST):
         with pytest.raises(ValueError):
