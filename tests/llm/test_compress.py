@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -51,6 +52,30 @@ def test_without_labels_all_scores_are_one_half(spark, documents):
     assert {row.score for row in compress_score.scored(documents, none).collect()} == {0.5}
 
 
+def test_all_parts_of_long_texts_are_learnt_from(spark):
+    """What tells the classes apart begins after twice the bytes that are kept of a text."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(600)]
+    good, bad, other = words[:200], words[200:400], words[400:]
+
+    def prose(own, size):
+        return " ".join(rng.choices(own, k=size // 7))
+
+    long = [(i, prose(other, 70_000) + " " + prose(good if i % 2 else bad, 30_000)) for i in range(80)]
+    short = [(100 + i, prose(good if i % 2 else bad, 700)) for i in range(40)]
+    docs = spark.createDataFrame(long + short, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    scores = {row.doc_id: row.score for row in compress_score.scored(docs, labels).collect()}
+    assert all(scores[100 + i] > 0.5 if i % 2 else scores[100 + i] < 0.5 for i in range(40))
+    sampled = compress_score.training_rows(docs, labels)[0]
+    assert {len(text) for _, _, text in sampled} == {compress_score.TRAIN_BYTES}
+    texts = dict(long)
+    for doc_id, _, text in sampled:
+        whole = texts[doc_id].encode()
+        assert text[: compress_score.CHUNK] == whole[: compress_score.CHUNK]
+        assert text[-compress_score.CHUNK :] == whole[-compress_score.CHUNK :]
+
+
 def test_curve_gives_shares():
     x = np.array([-1.0, -1, 1, 1] * 50)
     labels = np.array([0.0, 1, 1, 1] * 50)
