@@ -36,12 +36,13 @@ LISTED_FROM, MOST_LISTED = 3, 1 << 16
 _MAGIC = b"FID2"
 _HEAD = struct.Struct("<4sIIQIBBII")
 _TOP, _LEAST = 60, 1 << 44
-_TABLE_BITS = 9
+_TABLE_BITS = 8
 # Steps after which the decision's frequencies are halved, and what an event adds to its own.
 _HALVE, _STEP = 64, 4
 # One in each of the three fields of 20 bits; all bits of a field but its highest.
 _EACH = 1 | 1 << 20 | 1 << 40
 _HALVES = ((1 << 19) - 1) * _EACH
+_FIELD = (1 << 20) - 1
 
 
 class _Frequencies:
@@ -67,6 +68,10 @@ class _Frequencies:
         shares[weights.argmax()] += (1 << bits) - shares.sum()
         return cls(listed, shares, bits, max(1, int(ids.max()).bit_length()))
 
+    def with_all(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and shares, and at the end those of an id that needs none: all of the range."""
+        return np.append(self.starts, 0), np.append(self.shares, 1 << self.bits)
+
     def numbers_by_id(self, highest: int) -> np.ndarray:
         numbers = np.zeros(highest + 1, np.int32)
         numbers[self.ids[1:]] = np.arange(1, len(self.ids))
@@ -93,8 +98,8 @@ class _Model:
     """
 
     def __init__(self, lanes: int):
-        self.lanes = np.arange(lanes)
-        self.base = self.lanes << _TABLE_BITS
+        self.base = np.arange(lanes) << _TABLE_BITS
+        self.contexts = np.arange(lanes) << 4
         self.table = [np.zeros(lanes << _TABLE_BITS, np.int32) for _ in range(2)]
         self.own = np.full(lanes, _EACH, np.int64)
         self.mixed = np.full(lanes << 4, 2 * _EACH, np.int64)
@@ -112,24 +117,26 @@ class _Model:
         ]
         self.entries = [self.table[i].take(place) for i, place in enumerate(self.places)]
         self.guesses = [entry >> 2 for entry in self.entries]
-        trust = (self.entries[0] & 3) << 2 | self.entries[1] & 3
-        self.context = (self.lanes << 4) + trust
-        both = self.own + self.mixed.take(self.context)
-        field = (1 << 20) - 1
-        self.first = both & field
-        self.middle = self.first + ((both >> 20) & field)
-        self.total = self.middle + (both >> 40)
-
-    def learn(self, ids: np.ndarray, decided: np.ndarray) -> None:
+        self.trusts = [entry & 3 for entry in self.entries]
+        self.context = self.contexts + (self.trusts[0] << 2 | self.trusts[1])
+        self.each = self.own + self.mixed.take(self.context)
+        # times one in each field: every field holds the sum of itself and those before it
+        self.sums = self.each * _EACH
+        self.total = (self.sums >> 40) & _FIELD
+
+    def span(self, decided: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the frequencies of the decisions begin, and how large they are."""
+        shift = 20 * decided
+        return ((self.sums << 20) >> shift) & _FIELD, (self.each >> shift) & _FIELD
+
+    def learn(self, ids: np.ndarray, decided: np.ndarray, hits: tuple[np.ndarray, np.ndarray]) -> None:
+        """``hits``: whether each of the two guesses was right."""
         event = np.int64(_STEP) << 20 * decided
         self.own += event
         self.mixed[self.context] += event << 1
-        new = ids << 2 | 1
+        new = (ids << 2 | 1).astype(np.int32)
         for i, place in enumerate(self.places):
-            entry = self.entries[i]
-            self.table[i][place] = np.where(
-                self.guesses[i] == ids, np.where((entry & 3) == 3, entry, entry + 1), new
-            )
+            self.table[i][place] = np.where(hits[i], self.entries[i] + (self.trusts[i] < 3), new)
         self.before, self.last = self.last, ids
         self.steps += 1
         if self.steps % _HALVE == 0:
@@ -206,31 +213,31 @@ def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     blocks[: len(ids)] = ids
     blocks = blocks.reshape(lanes, steps)
     order0 = _Frequencies.of(ids)
-    numbers, everything = order0.numbers_by_id(int(ids.max())), 1 << order0.bits
+    numbers = order0.numbers_by_id(int(ids.max()))
+    starts, shares = order0.with_all()
     model, writer = _Model(lanes), _Writer(lanes, steps)
     for column in np.ascontiguousarray(blocks.T):
         now = column.astype(np.int64)
         model.predict()
-        first, missed = now == model.guesses[0], now != model.guesses[1]
-        missed &= ~first
-        decided = np.where(first, 0, 1 + missed)
-        start = np.where(first, 0, np.where(missed, model.middle, model.first))
-        end = np.where(first, model.first, np.where(missed, model.total, model.middle))
+        hits = now == model.guesses[0], now == model.guesses[1]
+        missed = ~(hits[0] | hits[1])
+        decided = missed + (~hits[0]).astype(np.int64)
+        start, size = model.span(decided)
         unit = writer.range // model.total
-        low, width = writer.low + unit * start, unit * (end - start)
-        number = numbers.take(now)
+        low, width = writer.low + unit * start, unit * size
+        # number of the id where it is needed, else the one that stands for all shares
+        number = np.where(missed, numbers.take(now), len(starts) - 1)
         unit = width >> order0.bits
-        low += unit * np.where(missed, order0.starts.take(number), 0)
-        writer.low = low
-        writer.range = unit * np.where(missed, order0.shares.take(number), everything)
+        writer.low = low + unit * starts.take(number)
+        writer.range = unit * shares.take(number)
         writer.renew()
-        rare = np.flatnonzero(missed & (number == 0))
+        rare = np.flatnonzero(number == 0)
         if len(rare):
             unit = writer.range[rare] >> order0.rare_bits
             writer.low[rare] += unit * now[rare]
             writer.range[rare] = unit
             writer.renew()
-        model.learn(now, decided)
+        model.learn(now, decided, hits)
     words, listed = writer.finish(), order0.packed()
     head = _HEAD.pack(
         _MAGIC, lanes, steps, len(ids), len(order0.ids) - 1, order0.bits, order0.rare_bits, len(listed), zlib.crc32(listed)
@@ -255,6 +262,8 @@ def decode(segment: bytes) -> np.ndarray:
         raise ValueError("the list of a segment's ids is damaged")
     order0 = _Frequencies.unpacked(packed, listed, bits, rare_bits)
     numbers, everything = order0.numbers_by_point(), 1 << bits
+    starts, shares = order0.with_all()
+    ids_of = np.append(order0.ids, 0)
     heads = np.frombuffer(segment, "<u4", 3 * lanes, begin).reshape(lanes, 3).astype(np.int64)
     words = np.frombuffer(segment, "<u2", heads[:, 0].sum(), begin + 12 * lanes)
     ends = np.cumsum(heads[:, 0])
@@ -291,18 +300,19 @@ def decode(segment: bytes) -> np.ndarray:
         model.predict()
         unit = width // model.total
         point = np.minimum(code // unit, model.total - 1)
-        first, missed = point < model.first, point >= model.middle
-        decided = np.where(first, 0, 1 + missed)
-        start = np.where(first, 0, np.where(missed, model.middle, model.first))
-        end = np.where(first, model.first, np.where(missed, model.total, model.middle))
+        past = point >= (model.sums & _FIELD)
+        missed = point >= ((model.sums >> 20) & _FIELD)
+        decided = missed + past.astype(np.int64)
+        start, size = model.span(decided)
         code -= unit * start
-        unit = unit * (end - start) >> bits
+        unit = unit * size >> bits
         number = numbers.take(np.minimum(code // unit, everything - 1))
-        code -= unit * np.where(missed, order0.starts.take(number), 0)
-        width = unit * np.where(missed, order0.shares.take(number), everything)
+        number = np.where(missed, number, len(starts) - 1)
+        code -= unit * starts.take(number)
+        width = unit * shares.take(number)
         refill()
-        now = np.where(missed, order0.ids.take(number), np.where(first, model.guesses[0], model.guesses[1]))
-        rare = np.flatnonzero(missed & (number == 0))
+        now = np.where(missed, ids_of.take(number), np.where(past, model.guesses[1], model.guesses[0]))
+        rare = np.flatnonzero(number == 0)
         if len(rare):
             unit = width[rare] >> rare_bits
             value = np.minimum(code[rare] // unit, (1 << rare_bits) - 1)
@@ -310,7 +320,7 @@ def decode(segment: bytes) -> np.ndarray:
             width[rare] = unit
             now[rare] = value
             refill()
-        model.learn(now, decided)
+        model.learn(now, decided, (now == model.guesses[0], now == model.guesses[1]))
         columns[step] = now
     blocks = np.ascontiguousarray(columns.T)
     for block, (_, _, crc) in zip(blocks, heads, strict=True):
