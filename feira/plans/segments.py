@@ -53,19 +53,15 @@ def rfm_totals(sales: DataFrame, dates: DataFrame, customers: DataFrame) -> Data
 def _state(totals: DataFrame) -> Column:
     """What all rows together say: the newest day, and each feature's mean and deviation.
 
-    One aggregate of states that are merged, so each task sends one row. It reads every
-    column of the totals, as the rows themselves do: both then start from the same shuffle,
-    which Spark runs once, and the sales are read once. A subquery that asked for less would
-    be planned, and run, from the sales on.
+    One aggregate of states that are merged, so each task sends one row. It is a scalar
+    subquery: ``totals`` is read twice, so it should be stored first.
     """
     features = [F.unix_date("last_day"), F.col("Frequency"), F.coalesce("Monetary", F.lit(0))]
     moments = []
     for name, value in zip(FEATURES, features, strict=True):
         number = value.cast("double")
         moments += [F.avg(number).alias(f"{name}_mean"), F.stddev_samp(number).alias(f"{name}_std")]
-    # the person is looked at as well, as it is one of the columns
-    persons = F.count(F.struct(*PERSON)).alias("n")
-    state = F.struct(F.max("last_day").alias("newest"), persons, *moments)
+    state = F.struct(F.max("last_day").alias("newest"), *moments)
     return totals.agg(state.alias("state")).scalar()
 
 

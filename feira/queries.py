@@ -25,7 +25,7 @@ from feira.operators import assign_nearest, keep_first, orphans, row_audit, rule
 from feira.plans import gold, segments, silver
 from feira.sources import calendar
 from feira.sources.market import Market
-from feira.sources.working import new_folder
+from feira.sources.working import new_folder, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,11 +111,13 @@ class _Tables:
         )
 
     def rfm_totals(self):
-        return segments.rfm_totals(
+        """Stored, one row per person: what follows reads it more than once, as a run does."""
+        totals = segments.rfm_totals(
             gold.fact_sales(self.lines(paid=True)),
             gold.dim_date(self.spark, FIRST_DAY, LAST_DAY),
             self.dim_customers(),
         )
+        return store(totals, "rfm_totals", new_folder(self.spark))
 
     def rfm(self):
         return segments.rfm_features(self.rfm_totals())

@@ -37,15 +37,40 @@ def _delete_at_exit(spark: SparkSession, folder: str) -> None:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A folder of its own inside the shared one, deleted when this Python ends.
+    """A folder of its own inside the shared one, deleted when this Python ends, or when the
+    ``scope`` around the call does.
 
     For results that are read lazily after the call that stored them.
     """
     folder = f"{shared_folder(spark)}/feira-{uuid.uuid4().hex}"
-    atexit.register(_delete_at_exit, spark, folder)
+    if _scopes:
+        _scopes[-1].append(folder)
+    else:
+        atexit.register(_delete_at_exit, spark, folder)
     return folder
 
 
+# Folders of the scopes that are open, the innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Folders that operators open inside the block are deleted at its end.
+
+    For sessions that call many operators one after the other: what they return is read lazily
+    from these folders, so it has to be written before the block ends. Not for several threads.
+    """
+    folders: list[str] = []
+    _scopes.append(folders)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 @contextmanager
 def working_folder(spark: SparkSession) -> Iterator[str]:
     """A folder of its own inside the shared one, deleted when the block ends."""

@@ -1,5 +1,8 @@
 """What Spark does with the queries: no Python, no all-pairs joins, hot keys split."""
 
+from datetime import date
+from decimal import Decimal
+
 import pytest
 from tests.conftest import executed_plan, rows
 from pyspark.sql import functions as F
@@ -304,3 +307,57 @@ def test_a_hot_category_is_split(spark, hot):
     assert "category" in split_joins(executed_plan(counted))
     found = {row.category: row["count"] for row in counted.collect()}
     assert found["warm"] == ROWS // 3 and found[None] == ROWS // 3
+
+
+def test_features_and_their_scores_read_the_sales_once(spark, monkeypatch):
+    """The facts are computed for the totals alone; the rest reads one row per person."""
+    computed = []
+    build = segments.rfm_totals
+    monkeypatch.setattr(segments, "rfm_totals", lambda *a: computed.append(1) or build(*a))
+    for name in ("rfm_features", "rfm_scaled", "rfm_assign_fixed"):
+        df = queries.queries()[name](spark, "/root/testdata/sf0.001")
+        assert all("rfm_totals" in path for path in df.inputFiles()), name
+        plan = executed_plan(df)
+        assert "Join" not in plan and plan.count("Exchange SinglePartition") == 1
+    assert len(computed) == 3
+
+
+def test_equal_features_and_a_single_person_have_no_score(frame):
+    def scores(*rows_):
+        totals = frame(
+            "customer_unique_id string, customer_city string, customer_state string, last_day date, "
+            "Frequency bigint, Monetary decimal(38,2)",
+            *rows_,
+        )
+        return [tuple(row[3:]) for row in rows(segments.rfm_scaled(totals))]
+
+    day, cents = date(2017, 1, 1), Decimal("5.00")
+    assert scores(("u", "c", "s", day, 1, cents)) == [(0.0, 0.0, 0.0)]
+    assert scores(*[(u, "c", "s", day, 1, cents) for u in "abc"]) == [(0.0, 0.0, 0.0)] * 3
+    found = scores(("a", "c", "s", day, 1, None), ("b", "c", "s", date(2017, 1, 3), 3, cents))
+    assert [[round(x, 6) for x in row] for row in found] == [[0.707107, -0.707107, -0.707107], [-0.707107, 0.707107, 0.707107]]
+
+
+def test_orphans_take_one_shuffle_per_key(spark, frame):
+    """Three links on one key and one on another; a third of all children share a key."""
+    children = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id % 900) AS k", "id % 5 AS l")
+    parents = spark.range(800).selectExpr("id AS k")
+    links = [("a", children, "p", parents, "k"), ("b", children, "p", parents, "k")]
+    links += [("a", children, "q", parents.limit(0), "k"), ("a", children, "r", spark.range(4).toDF("l"), "l")]
+    found = orphans(links)
+    plan = executed_plan(found)
+    assert plan.count("Exchange hashpartitioning(key") == 2 and "Join" not in plan
+    expected = []
+    for name, child, parent_name, parent, key in links:
+        missing = child.join(parent, key, "left_anti")
+        expected.append((name, parent_name, key, missing.count(), missing.select(key).distinct().count()))
+    assert rows(found) == sorted(expected, key=repr)
+
+
+def test_rules_add_up_to_the_rows_dropped(spark):
+    found = queries.queries()
+    audit = {r.table_name: r.rows_dropped for r in found["audit_counts"](spark, "/root/testdata/sf0.001").collect()}
+    by_rule = {}
+    for row in found["audit_rules"](spark, "/root/testdata/sf0.001").collect():
+        by_rule[row.table_name] = by_rule.get(row.table_name, 0) + row.rows_dropped
+    assert by_rule == audit and sum(audit.values()) > 0

@@ -283,6 +283,21 @@ def test_a_working_folder_goes_when_it_is_done(spark):
     assert folders[0].parent.is_dir()
 
 
+def test_a_scope_deletes_what_operators_stored(spark, tmp_path):
+    outer = working.new_folder(spark)
+    working.store(spark.range(3), "numbers", outer)
+    with working.scope(spark):
+        first = working.new_folder(spark)
+        lazy = working.store(spark.range(5), "numbers", first)
+        with working.scope(spark):
+            second = working.new_folder(spark)
+            working.store(spark.range(5), "numbers", second)
+        assert Path(first).is_dir() and not Path(second).exists()
+        lazy.write.parquet(str(tmp_path / "kept"))
+    assert not Path(first).exists() and Path(outer).is_dir()
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 5
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     session = MagicMock()
     settings = {"spark.master": "yarn"}
