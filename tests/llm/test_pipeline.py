@@ -17,7 +17,7 @@ from tests.llm.test_simhash import brute_components, brute_fingerprint
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = connection.execute(registry.ORACLE_SQL[name])
     columns = [column[0] for column in result.description]
@@ -28,7 +28,7 @@ def test_same_rows_as_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in registry.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(registry.QUERIES) | {"pipeline"} <= set(registered.queries())
 
 
@@ -82,5 +82,7 @@ def test_stages_take_empty_tables(spark, empty):
 
 
 def test_stages_take_rows_of_any_kind(spark, documents):
-    for module in (exact_dedup.drop_exact_copies, simhash.drop_near_copies, mixing.repeat_by_mixture):
+    for module in (
+        quality_rules.drop_rejected, exact_dedup.drop_exact_copies, simhash.drop_near_copies, mixing.repeat_by_mixture
+    ):
         assert set(map(tuple, module(documents).collect())) <= set(map(tuple, documents.collect()))
