@@ -36,7 +36,7 @@ _SIGNS = frozenset(".,;:!?")
 
 # Remembered results per generation (there are two), none of a word with more characters than
 # LONGEST_KEPT; ids handled at once when decoding.
-WORDS_KEPT = 100_000
+WORDS_KEPT = 150_000
 LONGEST_KEPT = 64
 IDS_AT_ONCE = 1 << 17
 
