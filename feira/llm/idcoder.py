@@ -38,7 +38,9 @@ _HEAD = struct.Struct("<4sIIQIBBII")
 _TOP, _LEAST = 60, 1 << 44
 _TABLE_BITS = 8
 # Steps after which the decision's frequencies are halved, and what an event adds to its own.
-_HALVE, _STEP = 64, 4
+_HALVE, _STEP = 64, np.int64(4)
+# Factors of the last id and of the one before it, where their guess stands.
+_ONE, _TWO = np.uint16(40503), np.uint16(30011)
 # One in each of the three fields of 20 bits; all bits of a field but its highest.
 _EACH = 1 | 1 << 20 | 1 << 40
 _HALVES = ((1 << 19) - 1) * _EACH
@@ -93,51 +95,66 @@ class _Frequencies:
 class _Model:
     """Predictions and frequencies of all blocks.
 
+    Of arrays with two entries per block, the first half is for order 2, the second for order 1.
     A guess is kept with its trust (0 to 3) in its lowest two bits. The three frequencies of a
-    decision share one number, 20 bits each, and are added and halved together.
+    decision share one number, 20 bits each, and are added and halved together. Where a guess
+    stands follows from the lowest 16 bits of products, so these are numbers of 16 bits.
     """
 
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes) << _TABLE_BITS
+        self.lanes = lanes
+        self.base = np.arange(2 * lanes) << _TABLE_BITS
         self.contexts = np.arange(lanes) << 4
-        self.table = [np.zeros(lanes << _TABLE_BITS, np.int32) for _ in range(2)]
+        self.table = np.zeros(2 * lanes << _TABLE_BITS, np.int32)
         self.own = np.full(lanes, _EACH, np.int64)
         self.mixed = np.full(lanes << 4, 2 * _EACH, np.int64)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
+        self.last = np.zeros(lanes, np.uint16)
+        self.before = np.zeros(lanes, np.uint16)
         self.steps = 0
+        self.slots = np.empty(2 * lanes, np.uint16)
+        self.places = np.empty(2 * lanes, np.int64)
+        self.entries, self.new = (np.empty(2 * lanes, np.int32) for _ in range(2))
+        self.context, self.now_mixed, self.each = (np.empty(lanes, np.int64) for _ in range(3))
 
     def predict(self) -> None:
         """Set the guesses and the frequencies of: first is right, second is, neither."""
-        mask = (1 << _TABLE_BITS) - 1
-        one = self.last * 40503
-        self.places = [
-            self.base + (((one ^ (self.before * 30011)) >> 6) & mask),
-            self.base + ((one >> 7) & mask),
-        ]
-        self.entries = [self.table[i].take(place) for i, place in enumerate(self.places)]
-        self.guesses = [entry >> 2 for entry in self.entries]
-        self.trusts = [entry & 3 for entry in self.entries]
-        self.context = self.contexts + (self.trusts[0] << 2 | self.trusts[1])
-        self.each = self.own + self.mixed.take(self.context)
+        lanes, slots = self.lanes, self.slots
+        one = self.last * _ONE
+        np.bitwise_xor(one, self.before * _TWO, out=slots[:lanes])
+        slots[:lanes] >>= 6
+        np.right_shift(one, 7, out=slots[lanes:])
+        slots &= (1 << _TABLE_BITS) - 1
+        np.add(self.base, slots, out=self.places)
+        self.table.take(self.places, out=self.entries, mode="clip")
+        self.guesses = self.entries >> 2
+        trusts = self.entries & 3
+        np.add(self.contexts, trusts[:lanes] << 2 | trusts[lanes:], out=self.context)
+        self.mixed.take(self.context, out=self.now_mixed, mode="clip")
+        np.add(self.own, self.now_mixed, out=self.each)
         # times one in each field: every field holds the sum of itself and those before it
         self.sums = self.each * _EACH
         self.total = (self.sums >> 40) & _FIELD
 
-    def span(self, decided: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the frequencies of the decisions begin, and how large they are."""
-        shift = 20 * decided
+    def span(self, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the frequencies of the decisions begin, and how large they are; ``shift`` is 20
+        times the decision's number."""
         return ((self.sums << 20) >> shift) & _FIELD, (self.each >> shift) & _FIELD
 
-    def learn(self, ids: np.ndarray, decided: np.ndarray, hits: tuple[np.ndarray, np.ndarray]) -> None:
+    def learn(self, ids: np.ndarray, shift: np.ndarray, hits: np.ndarray) -> None:
         """``hits``: whether each of the two guesses was right."""
-        event = np.int64(_STEP) << 20 * decided
+        event = _STEP << shift
         self.own += event
-        self.mixed[self.context] += event << 1
-        new = (ids << 2 | 1).astype(np.int32)
-        for i, place in enumerate(self.places):
-            self.table[i][place] = np.where(hits[i], self.entries[i] + (self.trusts[i] < 3), new)
-        self.before, self.last = self.last, ids
+        event += event
+        event += self.now_mixed
+        self.mixed[self.context] = event
+        new = ids << 2
+        new |= 1
+        self.new[: self.lanes] = new
+        self.new[self.lanes :] = new
+        # a right guess is trusted more, up to 3
+        np.copyto(self.new, np.minimum(self.entries + 1, self.entries | 3), where=hits)
+        self.table[self.places] = self.new
+        self.before, self.last = self.last, ids.astype(np.uint16)
         self.steps += 1
         if self.steps % _HALVE == 0:
             for table in (self.own, self.mixed):
@@ -155,23 +172,29 @@ class _Writer:
         self.words = np.zeros(lanes * self.room, np.int32)
         self.place = np.arange(lanes) * self.room
         self.start = self.place.copy()
+        self.sent = 0  # words of any block, at most
 
     def renew(self) -> None:
         """Settle carries and let whole words leave."""
-        over = np.flatnonzero(self.low >> _TOP)
+        over = (self.low >= 1 << _TOP).nonzero()[0]
         if len(over):  # the word before takes it; what ripples on is settled at the end
             self.words[self.place[over] - 1] += 1
             self.low[over] -= 1 << _TOP
-        short = np.flatnonzero(self.range < _LEAST)
+        short = (self.range < _LEAST).nonzero()[0]
+        if len(short):
+            self.sent += 2  # no block sends more in one step
+            if self.sent >= self.room - 8:
+                self.sent = int((self.place - self.start).max()) + 2
+                if self.sent >= self.room - 8:
+                    self._grow()
         while len(short):
-            if (self.place[short] - self.start[short]).max() >= self.room - 8:
-                self._grow()
-            low = self.low[short]
-            self.words[self.place[short]] = low >> (_TOP - 16)
-            self.place[short] += 1
+            place, low, width = self.place.take(short), self.low.take(short), self.range.take(short)
+            self.words[place] = low >> (_TOP - 16)
+            self.place[short] = place + 1
             self.low[short] = (low & (_LEAST - 1)) << 16
-            self.range[short] <<= 16
-            short = short[self.range[short] < _LEAST]
+            width <<= 16
+            self.range[short] = width
+            short = short[width < _LEAST]
 
     def _grow(self) -> None:
         lanes = len(self.low)
@@ -216,28 +239,31 @@ def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     numbers = order0.numbers_by_id(int(ids.max()))
     starts, shares = order0.with_all()
     model, writer = _Model(lanes), _Writer(lanes, steps)
-    for column in np.ascontiguousarray(blocks.T):
-        now = column.astype(np.int64)
+    for now in np.ascontiguousarray(blocks.T):
         model.predict()
-        hits = now == model.guesses[0], now == model.guesses[1]
-        missed = ~(hits[0] | hits[1])
-        decided = missed + (~hits[0]).astype(np.int64)
-        start, size = model.span(decided)
+        hits = model.guesses.reshape(2, lanes) == now
+        past = ~hits[0]
+        missed = past & ~hits[1]
+        shift = 20 * (missed.view(np.int8) + past.view(np.int8)).astype(np.int64)
+        start, size = model.span(shift)
         unit = writer.range // model.total
-        low, width = writer.low + unit * start, unit * size
+        start *= unit
+        size *= unit
         # number of the id where it is needed, else the one that stands for all shares
-        number = np.where(missed, numbers.take(now), len(starts) - 1)
-        unit = width >> order0.bits
-        writer.low = low + unit * starts.take(number)
-        writer.range = unit * shares.take(number)
+        number = numbers.take(now)
+        np.copyto(number, len(starts) - 1, where=~missed)
+        unit = size >> order0.bits
+        writer.low += start
+        writer.low += unit * starts.take(number)
+        np.multiply(unit, shares.take(number), out=writer.range)
         writer.renew()
-        rare = np.flatnonzero(number == 0)
+        rare = (number == 0).nonzero()[0]
         if len(rare):
             unit = writer.range[rare] >> order0.rare_bits
             writer.low[rare] += unit * now[rare]
             writer.range[rare] = unit
             writer.renew()
-        model.learn(now, decided, hits)
+        model.learn(now, shift, hits.ravel())
     words, listed = writer.finish(), order0.packed()
     head = _HEAD.pack(
         _MAGIC, lanes, steps, len(ids), len(order0.ids) - 1, order0.bits, order0.rare_bits, len(listed), zlib.crc32(listed)
@@ -261,22 +287,23 @@ def decode(segment: bytes) -> np.ndarray:
     if zlib.crc32(packed) != list_crc:
         raise ValueError("the list of a segment's ids is damaged")
     order0 = _Frequencies.unpacked(packed, listed, bits, rare_bits)
-    numbers, everything = order0.numbers_by_point(), 1 << bits
+    numbers = order0.numbers_by_point()
     starts, shares = order0.with_all()
-    ids_of = np.append(order0.ids, 0)
+    ids_of = np.append(order0.ids, 0).astype(np.int32)
     heads = np.frombuffer(segment, "<u4", 3 * lanes, begin).reshape(lanes, 3).astype(np.int64)
     words = np.frombuffer(segment, "<u2", heads[:, 0].sum(), begin + 12 * lanes)
     ends = np.cumsum(heads[:, 0])
     for end, (count, crc, _) in zip(ends, heads, strict=True):
         if zlib.crc32(words[end - count : end]) != crc:
             raise ValueError("a block of token ids is damaged")
-    words = np.append(words, 0).astype(np.int64)  # the last entry stands for what is not there
+    words = np.append(words, 0)  # the last entry stands for what is not there
     place, nothing = ends - heads[:, 0], len(words) - 1
 
     def word(some: np.ndarray) -> np.ndarray:
-        here = place[some]
+        here = place.take(some)
         place[some] = here + 1
-        return words.take(np.where(here < ends[some], here, nothing))
+        np.copyto(here, nothing, where=here >= ends.take(some))
+        return words.take(here).astype(np.int64)
 
     # 60 bits: three words and 12 bits of the fourth, whose other four wait
     everyone, code = np.arange(lanes), np.zeros(lanes, np.int64)
@@ -287,32 +314,38 @@ def decode(segment: bytes) -> np.ndarray:
     width = np.full(lanes, 1 << _TOP, np.int64)
 
     def refill() -> None:
-        short = np.flatnonzero(width < _LEAST)
+        short = (width < _LEAST).nonzero()[0]
         while len(short):
-            got = word(short)
-            code[short] = code[short] << 16 | spare[short] << 12 | got >> 4
+            # the four bits that waited, and the word, whose last four will wait
+            got = spare.take(short) << 16 | word(short)
+            code[short] = code.take(short) << 16 | got >> 4
             spare[short] = got & 15
-            width[short] <<= 16
-            short = short[width[short] < _LEAST]
+            wider = width.take(short) << 16
+            width[short] = wider
+            short = short[wider < _LEAST]
 
     model, columns = _Model(lanes), np.empty((steps, lanes), np.int32)
-    for step in range(steps):
+    for now in columns:
         model.predict()
         unit = width // model.total
-        point = np.minimum(code // unit, model.total - 1)
-        past = point >= (model.sums & _FIELD)
-        missed = point >= ((model.sums >> 20) & _FIELD)
-        decided = missed + past.astype(np.int64)
-        start, size = model.span(decided)
-        code -= unit * start
-        unit = unit * size >> bits
-        number = numbers.take(np.minimum(code // unit, everything - 1))
-        number = np.where(missed, number, len(starts) - 1)
+        past = code >= unit * (model.sums & _FIELD)
+        missed = code >= unit * ((model.sums >> 20) & _FIELD)
+        shift = 20 * (missed.view(np.int8) + past.view(np.int8)).astype(np.int64)
+        start, size = model.span(shift)
+        start *= unit
+        code -= start
+        unit *= size
+        unit >>= bits
+        number = numbers.take(code // unit, mode="clip")
+        np.copyto(number, len(starts) - 1, where=~missed)
         code -= unit * starts.take(number)
-        width = unit * shares.take(number)
+        np.multiply(unit, shares.take(number), out=width)
         refill()
-        now = np.where(missed, ids_of.take(number), np.where(past, model.guesses[1], model.guesses[0]))
-        rare = np.flatnonzero(number == 0)
+        ids_of.take(number, out=now, mode="clip")
+        guesses = model.guesses.reshape(2, lanes)
+        np.copyto(now, guesses[1], where=past & ~missed)
+        np.copyto(now, guesses[0], where=~past)
+        rare = (number == 0).nonzero()[0]
         if len(rare):
             unit = width[rare] >> rare_bits
             value = np.minimum(code[rare] // unit, (1 << rare_bits) - 1)
@@ -320,8 +353,7 @@ def decode(segment: bytes) -> np.ndarray:
             width[rare] = unit
             now[rare] = value
             refill()
-        model.learn(now, decided, (now == model.guesses[0], now == model.guesses[1]))
-        columns[step] = now
+        model.learn(now, shift, (guesses == now).ravel())
     blocks = np.ascontiguousarray(columns.T)
     for block, (_, _, crc) in zip(blocks, heads, strict=True):
         if zlib.crc32(block.astype("<u4")) != crc:

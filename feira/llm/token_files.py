@@ -8,17 +8,19 @@ document's ids begin among all ids follows from the segments' sizes, which are a
 
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from feira.llm import bpe, idcoder
-from feira.llm.common import read_documents, ship, sliced, small, texts
+from feira.llm.common import read_documents, ship, sliced, small
 from feira.sources.working import new_folder
 
 END_ID = 2
@@ -26,6 +28,12 @@ END_ID = 2
 SEGMENT_IDS = 8192 * idcoder.BLOCK_IDS
 # Longer texts go to the tokenizers library itself: the faster one is built for shorter runs.
 LONG_TEXT = 1 << 20
+# White space, as all versions of Unicode since 6.3 have it.
+_WHITE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# bpe.PIECES for an encoder whose pattern may forbid going back: the same pieces, found sooner.
+_PIECES = (
+    r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+)
 
 _FILE = (
     "part int, segment int, n_ids long, doc_ids array<long>, sizes array<long>, ids binary"
@@ -37,29 +45,89 @@ class Encoder:
 
     The same tokens and pattern are handed to a faster public encoder; texts that are very
     long are encoded by the tokenizers library.
+
+    No piece goes through the border before a space that follows anything but white space. So
+    texts are cut there, and of all words of a batch behind a space each different one is encoded
+    once. Texts with white space before a space or at their end are encoded one by one.
+
+    Only the vocabulary travels; a process makes tables when it needs them, and once.
     """
 
     def __init__(self, vocabulary: bpe.Bpe, file: str):
-        special = vocabulary.special
-        ranks = {data: i for i, data in vocabulary.tokens.items() if i not in special.values()}
-        self.fast = tiktoken.Encoding(
-            "own", pat_str=bpe.PIECES, mergeable_ranks=ranks, special_tokens=special
+        self.tokens, self.special, self.file = vocabulary.tokens, vocabulary.special, file
+        self.by_words = not any(" " in mark for mark in self.special)
+
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
+        ranks = {data: i for i, data in self.tokens.items() if i not in self.special.values()}
+        return tiktoken.Encoding(
+            "own", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens=self.special
         )
-        self.exact = Tokenizer.from_str(file)
+
+    @cached_property
+    def exact(self) -> Tokenizer:
+        return Tokenizer.from_str(self.file)
+
+    @cached_property
+    def spaced(self) -> np.ndarray:
+        """Whether an id's token begins with a space."""
+        found = np.zeros(max(self.tokens) + 1, bool)
+        found[[i for i, data in self.tokens.items() if data[:1] == b" "]] = True
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         if len(text) > LONG_TEXT:
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, allowed_special="all")
 
+    def encode_all(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of an Arrow column, null as the empty string."""
+        filled = pc.fill_null(column, "")
+        cut = pc.invert(pc.match_substring_regex(filled, f"[{_WHITE}](?: |$)"))
+        cut = pc.and_(cut, pc.less_equal(pc.utf8_length(filled), LONG_TEXT))
+        by_words = iter(self._by_words(filled.filter(cut)) if self.by_words else ())
+        for text, whole in zip(filled, cut.to_pylist(), strict=True):
+            yield next(by_words) if whole and self.by_words else self.encode(text.as_py())
+
+    def _by_words(self, column: pa.Array) -> list[np.ndarray]:
+        if not len(column):
+            return []
+        lists = pc.split_pattern(column, " ")
+        words, begins = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        behind = np.ones(len(words), bool)
+        behind[begins] = False
+        different = words.filter(pa.array(behind)).dictionary_encode()
+        parts, sizes = self._words(different.dictionary)
+        # the first words, which no space comes before, stand behind the others
+        firsts = [self.encode(word) for word in words.take(pa.array(begins)).to_pylist()]
+        numbers = np.empty(len(words), np.int32)
+        numbers[behind] = different.indices.to_numpy()
+        numbers[begins] = np.arange(len(sizes), len(sizes) + len(firsts))
+        table = np.concatenate([parts, *firsts])
+        sizes = np.concatenate([sizes, [len(first) for first in firsts]]).astype(np.int32)
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        lengths = sizes.take(numbers)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        places = np.repeat((starts.take(numbers) - (ends - lengths)).astype(np.int32), lengths)
+        places += np.arange(len(places), dtype=np.int32)
+        return np.split(table.take(places), (ends - lengths)[begins[1:]])
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each with a space before it, and how many ids each has."""
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
+        ids = self.fast.encode_to_numpy(" " + joined, allowed_special="all")
+        # words hold no space, so their ids begin where a token begins with one
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(words):
+            raise ValueError("the ids of words do not begin where the words do")
+        return ids, np.diff(starts, append=len(ids))
 
-def _segments(vocabulary):
-    made: dict[str, Encoder] = {}
 
+def _segments(vocabulary):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not made:
-            made["encoder"] = Encoder(*vocabulary.value)
-        encoder, part, number = made["encoder"], None, 0
+        encoder, part, number = vocabulary.value, None, 0
         doc_ids, sizes, parts, waiting = [], [], [], 0
         end = np.array([END_ID], np.uint32)
 
@@ -74,8 +142,8 @@ def _segments(vocabulary):
 
         for batch in sliced(batches):
             part = batch["part"][0].as_py()
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"]), strict=True):
-                ids = encoder.encode(text)
+            encoded = encoder.encode_all(batch["text"])
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoded, strict=True):
                 doc_ids.append(doc_id)
                 sizes.append(len(ids) + 1)
                 parts += [ids, end]
@@ -100,7 +168,7 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str) -> None:
     ship(spark)
     with open(vocabulary_path, encoding="utf-8") as file:
         content = file.read()  # some MB, as every vocabulary
-    vocabulary = spark.sparkContext.broadcast((bpe.Bpe.from_file(vocabulary_path), content))
+    vocabulary = spark.sparkContext.broadcast(Encoder(bpe.Bpe.from_file(vocabulary_path), content))
     light = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text"
     )
