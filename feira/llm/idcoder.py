@@ -162,7 +162,10 @@ class _Model:
 
 
 class _Writer:
-    """Words of all blocks, with the low end and the width of each block's range."""
+    """Words of all blocks, with the low end and the width of each block's range.
+
+    Blocks get their words at about the same pace, so word k of all blocks stand side by side.
+    """
 
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.int64)
@@ -170,58 +173,53 @@ class _Writer:
         # room for every word that may come, reached in practice by ids that repeat nothing
         self.room = 2 * steps + 64
         self.words = np.zeros(lanes * self.room, np.int32)
-        self.place = np.arange(lanes) * self.room
-        self.start = self.place.copy()
+        self.place = np.arange(lanes)
         self.sent = 0  # words of any block, at most
 
     def renew(self) -> None:
         """Settle carries and let whole words leave."""
         over = (self.low >= 1 << _TOP).nonzero()[0]
         if len(over):  # the word before takes it; what ripples on is settled at the end
-            self.words[self.place[over] - 1] += 1
+            self.words[self.place[over] - len(self.low)] += 1
             self.low[over] -= 1 << _TOP
         short = (self.range < _LEAST).nonzero()[0]
         if len(short):
             self.sent += 2  # no block sends more in one step
             if self.sent >= self.room - 8:
-                self.sent = int((self.place - self.start).max()) + 2
+                self.sent = int(self.place.max()) // len(self.low) + 2
                 if self.sent >= self.room - 8:
-                    self._grow()
+                    self.words = np.concatenate([self.words, np.zeros_like(self.words)])
+                    self.room *= 2
         while len(short):
             place, low, width = self.place.take(short), self.low.take(short), self.range.take(short)
             self.words[place] = low >> (_TOP - 16)
-            self.place[short] = place + 1
+            self.place[short] = place + len(self.low)
             self.low[short] = (low & (_LEAST - 1)) << 16
             width <<= 16
             self.range[short] = width
             short = short[width < _LEAST]
 
-    def _grow(self) -> None:
-        lanes = len(self.low)
-        wider = np.zeros((lanes, 2 * self.room), np.int32)
-        wider[:, : self.room] = self.words.reshape(lanes, self.room)
-        used = self.place - self.start
-        self.room *= 2
-        self.words, self.start = wider.ravel(), np.arange(lanes) * self.room
-        self.place = self.start + used
-
     def finish(self) -> list[bytes]:
         # the top 32 bits of a number inside the range settle it; the reader adds zeros
         over = np.flatnonzero((self.low + (self.range >> 1)) >> _TOP)
         middle = self.low + (self.range >> 1)
-        self.words[self.place[over] - 1] += 1
+        lanes = len(self.low)
+        self.words[self.place[over] - lanes] += 1
         middle[over] -= 1 << _TOP
         for shift in (_TOP - 16, _TOP - 32):
             self.words[self.place] = (middle >> shift) & 0xFFFF
-            self.place += 1
-        table = self.words.reshape(len(self.low), self.room)
-        for i in range(int((self.place - self.start).max()) - 1, 0, -1):
-            over = table[:, i] >> 16
-            if over.any():
-                table[:, i] &= 0xFFFF
-                table[:, i - 1] += over
-        counts = (self.place - self.start).tolist()
-        return [table[i, :n].astype("<u2").tobytes() for i, n in enumerate(counts)]
+            self.place += lanes
+        counts = self.place // lanes
+        table = self.words[: int(counts.max()) * lanes]
+        over = (table > 0xFFFF).nonzero()[0]
+        while len(over):  # words that took a carry hand on what they cannot hold
+            words = table.take(over)
+            table[over] = words & 0xFFFF
+            over = over - lanes
+            table[over] += words >> 16
+            over = over[table.take(over) > 0xFFFF]
+        rows = np.ascontiguousarray(table.reshape(-1, lanes).T, "<u2")
+        return [row[:count].tobytes() for row, count in zip(rows, counts.tolist(), strict=True)]
 
 
 def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
@@ -296,14 +294,16 @@ def decode(segment: bytes) -> np.ndarray:
     for end, (count, crc, _) in zip(ends, heads, strict=True):
         if zlib.crc32(words[end - count : end]) != crc:
             raise ValueError("a block of token ids is damaged")
-    words = np.append(words, 0)  # the last entry stands for what is not there
-    place, nothing = ends - heads[:, 0], len(words) - 1
+    # word k of all blocks side by side; zeros stand for what is not there
+    table = np.zeros((lanes, int(heads[:, 0].max()) + 8), np.uint16)
+    for row, end, count in zip(table, ends.tolist(), heads[:, 0].tolist(), strict=True):
+        row[:count] = words[end - count : end]
+    words, place = np.ascontiguousarray(table.T).ravel(), np.arange(lanes)
 
     def word(some: np.ndarray) -> np.ndarray:
         here = place.take(some)
-        place[some] = here + 1
-        np.copyto(here, nothing, where=here >= ends.take(some))
-        return words.take(here).astype(np.int64)
+        place[some] = here + lanes
+        return words.take(here, mode="clip").astype(np.int64)
 
     # 60 bits: three words and 12 bits of the fourth, whose other four wait
     everyone, code = np.arange(lanes), np.zeros(lanes, np.int64)

@@ -28,6 +28,9 @@ END_ID = 2
 SEGMENT_IDS = 8192 * idcoder.BLOCK_IDS
 # Longer texts go to the tokenizers library itself: the faster one is built for shorter runs.
 LONG_TEXT = 1 << 20
+# Words that a process remembers with their ids, and their bytes; words laid out at once.
+WORDS_KEPT, WORD_BYTES_KEPT = 1 << 19, 1 << 24
+WORDS_AT_ONCE = 1 << 14
 # White space, as all versions of Unicode since 6.3 have it.
 _WHITE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # bpe.PIECES for an encoder whose pattern may forbid going back: the same pieces, found sooner.
@@ -56,6 +59,7 @@ class Encoder:
     def __init__(self, vocabulary: bpe.Bpe, file: str):
         self.tokens, self.special, self.file = vocabulary.tokens, vocabulary.special, file
         self.by_words = not any(" " in mark for mark in self.special)
+        self.known: tuple[pa.Array, np.ndarray, np.ndarray] | None = None
 
     @cached_property
     def fast(self) -> tiktoken.Encoding:
@@ -97,32 +101,61 @@ class Encoder:
         behind = np.ones(len(words), bool)
         behind[begins] = False
         different = words.filter(pa.array(behind)).dictionary_encode()
-        parts, sizes = self._words(different.dictionary)
+        table, sizes = self._words(different.dictionary)
         # the first words, which no space comes before, stand behind the others
         firsts = [self.encode(word) for word in words.take(pa.array(begins)).to_pylist()]
         numbers = np.empty(len(words), np.int32)
         numbers[behind] = different.indices.to_numpy()
         numbers[begins] = np.arange(len(sizes), len(sizes) + len(firsts))
-        table = np.concatenate([parts, *firsts])
+        table = np.concatenate([table, *firsts])
         sizes = np.concatenate([sizes, [len(first) for first in firsts]]).astype(np.int32)
-        starts = np.cumsum(sizes, dtype=np.int32) - sizes
-        lengths = sizes.take(numbers)
-        ends = np.cumsum(lengths, dtype=np.int64)
-        places = np.repeat((starts.take(numbers) - (ends - lengths)).astype(np.int32), lengths)
-        places += np.arange(len(places), dtype=np.int32)
-        return np.split(table.take(places), (ends - lengths)[begins[1:]])
+        ids = _joined(table, sizes, numbers)
+        ends = np.cumsum(np.add.reduceat(sizes.take(numbers), begins, dtype=np.int64))
+        return np.split(ids, ends[:-1])
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, each with a space before it, and how many ids each has."""
-        if not len(words):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        """The ids of different words, each with a space before it, and how many ids each has.
+
+        Words of the batches before are remembered.
+        """
+        known, table, sizes = self.known or (words.slice(0, 0), np.zeros(0, np.uint32), np.zeros(0, np.int32))
+        numbers = pc.index_in(words, value_set=known)
+        new = words.filter(numbers.is_null())
+        if len(new):
+            found = self._new_words(new)
+            numbers = pc.coalesce(numbers, pc.add(len(known), pc.index_in(words, value_set=new)))
+            known = pa.concat_arrays([known, new])
+            table, sizes = np.concatenate([table, found[0]]), np.concatenate([sizes, found[1]])
+            if len(known) <= WORDS_KEPT and known.nbytes <= WORD_BYTES_KEPT:
+                self.known = known, table, sizes
+            elif len(new) <= WORDS_KEPT and new.nbytes <= WORD_BYTES_KEPT:
+                self.known = new, *found
+            else:
+                self.known = None
+        numbers = numbers.to_numpy()
+        return _joined(table, sizes, numbers), sizes.take(numbers)
+
+    def _new_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
         ids = self.fast.encode_to_numpy(" " + joined, allowed_special="all")
         # words hold no space, so their ids begin where a token begins with one
         starts = np.flatnonzero(self.spaced[ids])
         if len(starts) != len(words):
             raise ValueError("the ids of words do not begin where the words do")
-        return ids, np.diff(starts, append=len(ids))
+        return ids, np.diff(starts, append=len(ids)).astype(np.int32)
+
+
+def _joined(table: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Of the entries that stand in ``table`` one after the other, those with these numbers."""
+    starts, parts = np.cumsum(sizes, dtype=np.int32) - sizes, [table[:0]]
+    for i in range(0, len(numbers), WORDS_AT_ONCE):
+        some = numbers[i : i + WORDS_AT_ONCE]
+        lengths = sizes.take(some)
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts.take(some) - (ends - lengths), lengths)
+        places += np.arange(len(places))
+        parts.append(table.take(places))
+    return np.concatenate(parts)
 
 
 def _segments(vocabulary):
