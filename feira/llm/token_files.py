@@ -126,14 +126,14 @@ class Encoder:
             numbers = pc.coalesce(numbers, pc.add(len(known), pc.index_in(words, value_set=new)))
             known = pa.concat_arrays([known, new])
             table, sizes = np.concatenate([table, found[0]]), np.concatenate([sizes, found[1]])
-            if len(known) <= WORDS_KEPT and known.nbytes <= WORD_BYTES_KEPT:
-                self.known = known, table, sizes
-            elif len(new) <= WORDS_KEPT and new.nbytes <= WORD_BYTES_KEPT:
-                self.known = new, *found
-            else:
-                self.known = None
         numbers = numbers.to_numpy()
-        return _joined(table, sizes, numbers), sizes.take(numbers)
+        ids, lengths = _joined(table, sizes, numbers), sizes.take(numbers)
+        # if all are too many, those of this batch stay, the frequent ones among them
+        both = ((known, table, sizes), (words, ids, lengths))
+        self.known = next(
+            (kept for kept in both if len(kept[0]) <= WORDS_KEPT and kept[0].nbytes <= WORD_BYTES_KEPT), None
+        )
+        return ids, lengths
 
     def _new_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
