@@ -230,16 +230,20 @@ def packed(rows: DataFrame, sources: DataFrame, folder: str) -> DataFrame:
 
 
 def pieces(rows: DataFrame, sources: DataFrame, folder: str) -> DataFrame:
-    """Rows cut at block ends: row, doc_id, sid, size, block, words. One with null for no words."""
+    """Rows cut at block ends: row, doc_id, sid, size, block, words.
+
+    One for no words, with a negative block of its own: a shuffle by block spreads those too.
+    """
     placed = packed(rows, sources, folder)
-    end = F.col("start") + F.col("size")
+    end, any_words = F.col("start") + F.col("size"), F.col("size") > 0
     first, last = F.floor(F.col("start") / BLOCK_WORDS), F.floor((end - 1) / BLOCK_WORDS)
     cut = placed.withColumn(
-        "block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last)))
+        "block", F.explode(F.when(any_words, F.sequence(first, last)).otherwise(F.array(-1 - F.col("row"))))
     )
     begin = F.greatest("start", F.col("block") * BLOCK_WORDS)
     stop = F.least(end, (F.col("block") + 1) * BLOCK_WORDS)
-    return cut.select("row", "doc_id", "sid", "size", "block", (stop - begin).alias("words"))
+    words = F.when(any_words, stop - begin).otherwise(0)
+    return cut.select("row", "doc_id", "sid", "size", "block", words.alias("words"))
 
 
 def mixture(docs: DataFrame, folder: str | None = None) -> DataFrame:
@@ -254,9 +258,11 @@ def mixture(docs: DataFrame, folder: str | None = None) -> DataFrame:
     rows = stored(sized(docs), "sizes", folder)
     sources = stored(targets(rows), "sources", folder)
     drawn = slots(sources, folder).groupBy("sid", "block").agg(F.count("*").alias("times"))
+    # The blocks drawn grow with the input, but adaptive execution judges them by the few ranges
+    # that they come from: without the hint it may broadcast them all through the driver.
     taken = (
         pieces(rows, sources, folder)
-        .join(drawn, ["sid", "block"], "left")
+        .join(drawn.hint("merge"), ["sid", "block"], "left")
         .groupBy("row", "doc_id", "sid", "size")
         .agg(F.sum(F.coalesce(F.col("words") * F.col("times"), F.lit(0))).alias("taken"))
     )

@@ -84,6 +84,28 @@ def test_no_python_on_the_way(documents):
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
 
 
+def test_drawn_blocks_are_not_broadcast(documents, conf):
+    """They grow with the input, whatever size Spark expects of them."""
+    conf(autoBroadcastJoinThreshold="1g")
+    plan = executed_plan(mixing.mixture(documents))
+    joins = re.findall(r"(\w+Join)\S* \[sid\S* block", plan)
+    assert joins == ["SortMergeJoin"]
+
+
+def test_rows_without_words_are_spread(spark, documents, tmp_path):
+    """A shuffle by source and block must not bring them all to one task."""
+    empties = spark.range(50).selectExpr("id AS doc_id", "' ' AS text", "'s0' AS source")
+    mixed = empties.unionByName(documents.select("doc_id", "text", "source").where("source = 's0'"))
+    folder = str(tmp_path)
+    rows = mixing.stored(mixing.sized(mixed), "sizes", folder)
+    sources = mixing.stored(mixing.targets(rows), "sources", folder)
+    found = mixing.pieces(rows, sources, folder).where("size = 0").collect()
+    assert len(found) == len({(r.sid, r.block) for r in found}) >= 50
+    assert all(r.block < 0 and r.words == 0 for r in found)
+    taken = mixing.mixture(mixed).where("size = 0").collect()
+    assert len(taken) == len(found) and {r.taken for r in taken} == {0}
+
+
 def test_empty(empty, spark, documents):
     assert mixing.mixture(empty).collect() == []
     assert mixing.repeat_by_mixture(empty).collect() == []
